@@ -1,7 +1,9 @@
 """Problem 3: mapping freely typed values to a canonical list.
 
-Method: values are deduplicated and normalised, candidates are retrieved through an inverted index of character n-grams,
-scored by cosine under idf weights, and accepted above a threshold and with a margin over the next entry.
+Method: values are deduplicated and normalised, candidates are retrieved through an inverted index of character n-grams
+(one and two letters), scored by cosine under idf weights, and accepted above a threshold and with a margin over the next
+entry. A candidate above the cosine threshold is also measured by edit distance: swapped letters break more n-grams than
+they should, and a shared word of two titles too few. The margin is on the mean of both.
 
 Normalising takes off what introduces a value ("see", "cited as", "["), repairs digits read for letters, reads the series
 ("2d", "Second Series", "third") into a column of its own and drops the generic words of a title ("Reports", "Rpts").
@@ -20,8 +22,9 @@ from pyspark.sql import functions as F
 
 from ..plans.lineage import salted_join
 
-THRESHOLD = 0.5
-MARGIN = 0.04
+THRESHOLD = 0.25
+LIKENESS = 0.48
+MARGIN = 0.02
 LEADS = r"^[\[\(\"' ]*((see also|see|cited as|cited in|quoted in|quoting|citing|cf\.?|accord|but see|in|the|from|at) +)*"
 SECOND = r"[\s,.\-(]*\b(second series|second|2nd series|2d series|2nd|2d|ii)\b[\s.,)]*$"
 THIRD = r"[\s,.\-(]*\b(third series|third|3rd series|3d series|3rd|3d|iii)\b[\s.,)]*$"
@@ -44,10 +47,11 @@ def normalised(value: Column) -> tuple[Column, Column]:
     return F.when(bare == "", F.regexp_replace(base, r" +", "")).otherwise(bare), series
 
 
-def grams(word: Column, n: int = 2) -> Column:
-    """The distinct character n-grams of ``word`` between end marks."""
+def grams(word: Column) -> Column:
+    """The distinct letters of ``word`` and its pairs of letters between end marks."""
     w = F.concat(F.lit("^"), word, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - (n - 1), F.lit(1))), lambda i: F.substring(w, i, F.lit(n))))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2)))
+    return F.array_distinct(F.concat(pairs, F.split(word, "")))
 
 
 def reference_forms(reporters: DataFrame) -> DataFrame:
@@ -60,21 +64,21 @@ def reference_forms(reporters: DataFrame) -> DataFrame:
     return written.select("entry", base.alias("base"), series.alias("series")).where("base <> ''").distinct()
 
 
-def resolve(values: DataFrame, forms: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+def resolve(values: DataFrame, forms: DataFrame, threshold: float = THRESHOLD, likeness: float = LIKENESS, margin: float = MARGIN) -> DataFrame:
     """values(base, series), distinct -> (base, series, entry, score): the entry meant, 0 if none is.
 
-    A form equal to the value wins outright unless two entries have it.
+    A form equal to the value scores 1. n-grams of no form count half as much as the rarest of a form.
     """
-    n_forms = forms.agg(F.count(F.lit(1)).alias("n_forms"))
+    n_forms = forms.select("base").distinct().agg(F.count(F.lit(1)).alias("n_forms"))
     ref = forms.withColumn("gram", F.explode(grams(F.col("base"))))
     weight = (
-        ref.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n_forms))
+        ref.select("base", "gram").distinct().groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n_forms))
         .select("gram", F.pow(F.log((F.col("n_forms") + 1.0) / (F.col("df") + 0.5)), 2).alias("w2"))
     )
     ref = ref.join(weight, "gram")
     norm = ref.groupBy("entry", "base", "series").agg(F.sum("w2").alias("ref_norm"))
     index = ref.join(norm, ["entry", "base", "series"]).select("gram", "series", "entry", F.col("base").alias("form"), "w2", "ref_norm")
-    unseen = F.pow(F.log((F.col("n_forms") + 1.0) / 0.5), 2)
+    unseen = F.pow(F.log((F.col("n_forms") + 1.0) / 0.5) / 2, 2)
     asked = values.where("base <> ''").withColumn("gram", F.explode(grams(F.col("base"))))
     own = (
         asked.join(weight, "gram", "left").join(F.broadcast(n_forms))
@@ -84,20 +88,23 @@ def resolve(values: DataFrame, forms: DataFrame, threshold: float = THRESHOLD, m
         asked.join(index, ["gram", "series"])
         .groupBy("base", "series", "entry", "form").agg(F.sum("w2").alias("dot"), F.first("ref_norm").alias("ref_norm"))
         .join(own, ["base", "series"])
-        .withColumn("score", F.when(F.col("base") == F.col("form"), 1.0).otherwise(F.col("dot") / F.sqrt(F.col("ref_norm") * F.col("own_norm"))))
-        .groupBy("base", "series", "entry").agg(F.max("score").alias("score"))
+        .withColumn("cosine", F.when(F.col("base") == F.col("form"), 1.0).otherwise(F.col("dot") / F.sqrt(F.col("ref_norm") * F.col("own_norm"))))
+        .where(F.col("cosine") >= threshold)
+        .withColumn("alike", 1 - F.levenshtein("base", "form") / F.greatest(F.length("base"), F.length("form")))
+        .groupBy("base", "series", "entry").agg(F.max(F.struct(((F.col("cosine") + F.col("alike")) / 2).alias("score"), "alike")).alias("m"))
+        .select("base", "series", "entry", "m.*")
     )
     rank = Window.partitionBy("base", "series").orderBy(F.desc("score"), "entry")
     best = (
         scored.withColumn("next", F.lead("score").over(rank)).withColumn("place", F.row_number().over(rank)).where("place = 1")
-        .where((F.col("score") >= threshold) & (F.col("score") - F.coalesce("next", F.lit(0.0)) >= margin))
+        .where((F.col("alike") >= likeness) & (F.col("score") - F.coalesce("next", F.lit(0.0)) >= margin))
     )
     return values.join(best.select("base", "series", "entry", "score"), ["base", "series"], "left").select(
         "base", "series", F.coalesce("entry", F.lit(0)).alias("entry"), "score"
     )
 
 
-def resolved_rows(rows: DataFrame, reporters: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+def resolved_rows(rows: DataFrame, reporters: DataFrame) -> DataFrame:
     """rows(table_name, row_id, value) -> (table_name, row_id, value, reporter_id, score) of the freely typed values."""
     listed = reporters.select(
         F.explode(F.array_union(F.array("canonical"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("value")
@@ -106,7 +113,7 @@ def resolved_rows(rows: DataFrame, reporters: DataFrame, threshold: float = THRE
     base, series = normalised(F.col("value"))
     # a file of many rows holds few values: they are deduplicated before and after they are normalised
     spelt = free.select("value").distinct().select("value", base.alias("base"), series.alias("series"))
-    found = resolve(spelt.select("base", "series").distinct(), reference_forms(reporters), threshold, margin)
+    found = resolve(spelt.select("base", "series").distinct(), reference_forms(reporters))
     by_value = spelt.join(found, ["base", "series"]).select("value", F.col("entry").alias("reporter_id"), "score")
     return salted_join(free, by_value, ["value"], F.col("row_id"))
 
