@@ -8,7 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import canonical, cooccurrence, leakage, subjects, survivors, tokens
+from . import canonical, cooccurrence, leakage, neardup, subjects, survivors, tokens
+
+
+def _texts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, d, "opinions").where("not coalesce(is_valueless, false)")
+    return neardup.similar_texts(rows, shingle=3, similarity=0.5, least_words=40)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    opinions = neardup.member_pairs(*_texts(spark, d)).withColumn("table_name", F.lit("opinions"))
+    cases = neardup.member_pairs(*neardup.similar_names(table(spark, d, "cases"))).withColumn("table_name", F.lit("cases"))
+    return opinions.unionByName(cases).select("table_name", "id_a", "id_b")
+
+
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Near copies by the usual five words and 0.8: one row a text."""
+    rows = table(spark, d, "opinions").where("not coalesce(is_valueless, false)")
+    return neardup.duplicate_classes(*neardup.similar_texts(rows, shingle=5, similarity=0.8, least_words=5)).drop("class")
 
 
 def _scores(spark: SparkSession, d: str) -> DataFrame:
