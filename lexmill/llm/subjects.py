@@ -19,45 +19,61 @@ null labels and repeated labels are ignored; without labels nothing can be learn
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_LABELLED = 20_000
+MOST_LABELLED = 6_000
 MOST_TERMS = 200_000
 BEAM = 8
 MOST_LABELS = 2
 SCHEMA = "doc_id long, subject string, share double, probability double"
 
-_SENTENCE = re.compile(r"(?<=[a-z\d)][.;:?!])\s+(?=[A-Z(¿¡])|\n{2,}")
-_WORD = re.compile(r"[^\W_]+")
+_BROKEN = re.compile(r"(?<=\w)[-­‐¬]\r?\n(?=\w)")
+_TOKEN = re.compile(r"[^\W_]+|[.;:?!](?=\s)|\n\n")
+END = -2
+ENDS = dict.fromkeys((".", ";", ":", "?", "!", "\n\n"), END)
 
 
-def sentences(text: str) -> list[list[str]]:
-    """The words of each sentence, in lower case. Line ends within words are mended."""
-    text = re.sub(r"(\w)[-­‐¬]\r?\n(\w)", r"\1\2", text)
-    if text.isupper():
-        parts = re.split(r"(?<=[^\W\d_]{3}[.;:?!])\s+|\n{2,}", text)
-    else:
-        parts = _SENTENCE.split(text)
-    return [w for w in (_WORD.findall(p.lower()) for p in parts) if w]
-
-
-def terms(words: list[str]) -> list:
-    """The words and the pairs of neighbouring words."""
-    return [*words, *zip(words, words[1:], strict=False)]
+def tokens_of(text: str) -> list[str]:
+    """The words of a text in lower case, with its sentence ends among them. Words broken at line ends are mended."""
+    text = text.lower()
+    if any(h + "\n" in text or h + "\r" in text for h in "-­‐¬"):
+        text = _BROKEN.sub("", text)
+    return _TOKEN.findall(text)
 
 
 #: a few function words of each language, which tell the language of a labelled text
 TONGUES = {"en": ("the", "of", "that", "and"), "fr": ("le", "les", "du", "pas"), "de": ("der", "die", "das", "nicht"), "es": ("el", "los", "las", "no")}
 
 
-def tongue(sents: list[list[str]]) -> int:
-    said = [sum(w in marks for s in sents for w in s) for marks in TONGUES.values()]
-    return int(np.argmax(said))
+class Sentences:
+    """Word numbers of many texts in one array, cut into sentences and documents."""
+
+    def __init__(self, texts: list[str], numbers: dict[str, int]):
+        """Words without a number get -1."""
+        get = numbers.get
+        flat: list[int] = []
+        ends = []
+        for text in texts:
+            flat += [get(t, -1) for t in tokens_of(text)]
+            flat.append(END)
+            ends.append(len(flat))
+        ids = np.array(flat, dtype=np.int64)
+        over = ids == END
+        self.doc = np.searchsorted(np.array(ends), np.arange(len(ids)), "right")
+        self.sentence = np.cumsum(over) - over
+        self.owner = self.doc[over]  # the document of each sentence
+        self.words = np.bincount(self.sentence[~over], minlength=len(self.owner))
+        self.ids, self.n_docs = ids, len(texts)
+
+    def pairs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, keys) of the pairs of neighbouring known words."""
+        a, b = self.ids[:-1], self.ids[1:]
+        at = np.flatnonzero((a >= 0) & (b >= 0))
+        return at, a[at] * size + b[at]
 
 
 class SubjectModel:
@@ -66,82 +82,131 @@ class SubjectModel:
     def __init__(self, names: list[str]):
         self.names, self.index = names, {s: i for i, s in enumerate(names)}
         self.vocab: dict[str, int] = {}
-        self.weights = np.zeros((1, len(names)), dtype=np.float32)
+        self.pair_keys = np.zeros(0, dtype=np.int64)
+        self.weights = np.zeros((0, len(names)), dtype=np.float32)  # of the words, then of the pairs
         self.chain, self.joint, self.heat = np.zeros(0), np.zeros((len(names), len(names))), 1.0
+        self.memo: dict = {}
 
     # terms
-    def learn_terms(self, docs: list[tuple[list[list[str]], set[int]]], rounds: int = 5) -> None:
-        tongues = [tongue(sents) for sents, _ in docs]
-        df = [Counter() for _ in TONGUES]
-        for (sents, _), t in zip(docs, tongues, strict=True):
-            df[t].update({x for s in sents for x in terms(s)})
-        size = Counter(tongues)
-        # what stands in a quarter of a language's documents belongs to no subject
-        common = {x for t, c in enumerate(df) for x, n in c.items() if n > max(3, 0.25 * size[t])}
-        total = sum(df, Counter())
-        kept = sorted((x for x, n in total.items() if n >= 2 and x not in common), key=lambda x: (-total[x], str(x)))[:MOST_TERMS]
-        vocab = {x: i for i, x in enumerate(kept)}
-        k, get = len(self.names), vocab.get
-        rows = [([i for x in set(terms(s)) if (i := get(x)) is not None], sorted(labels), t) for (sents, labels), t in zip(docs, tongues, strict=True) for s in sents]
-        flat = np.array([i for r, *_ in rows for i in r], dtype=np.int64)
-        at = np.repeat(np.arange(len(rows)), [len(r) for r, *_ in rows])
-        lang = np.array([t for *_, t in rows])
-        may = np.full((len(rows), k + 1), np.log(0.02))  # a sentence may stray from its document's labels
-        for n, (_, labels, _) in enumerate(rows):
-            may[n, labels] = 0
+    def gather(self, texts: list[str]) -> None:
+        """Number the words and pairs of the labelled texts, and find which stand in which sentence."""
+        every: dict[str, int] = {}
+        for text in texts:
+            for t in tokens_of(text):
+                if t not in ENDS:
+                    every.setdefault(t, len(every))
+        size = len(every)
+        held = Sentences(texts, every | ENDS)
+        at, keys = held.pairs(size)
+        self.pair_keys, pair = np.unique(keys, return_inverse=True)
+        word = np.flatnonzero(held.ids >= 0)
+        term = np.concatenate([held.ids[word], size + pair.reshape(-1)])
+        where = held.sentence[np.concatenate([word, at])]
+        n_terms = size + len(self.pair_keys)
+        once = np.unique(where * n_terms + term)
+        term, where = once % n_terms, once // n_terms
+        doc = held.owner[where]
+        in_docs = np.unique(doc * n_terms + term)
+        of_doc, of_term = in_docs // n_terms, in_docs % n_terms
+        marks = np.stack([np.bincount(held.doc[np.isin(held.ids, [every[m] for m in ms if m in every])], minlength=held.n_docs) for ms in TONGUES.values()], 1)
+        tongue = marks.argmax(1)
+        df = np.bincount(of_term, minlength=n_terms)
+        keep = df >= 2
+        for t in range(len(TONGUES)):
+            # what stands in a quarter of a language's documents belongs to no subject
+            n = int((tongue == t).sum())
+            keep &= np.bincount(of_term[tongue[of_doc] == t], minlength=n_terms) <= max(3, 0.25 * n)
+        kept = np.flatnonzero(keep)
+        kept = np.sort(kept[np.argsort(-df[kept], kind="stable")][:MOST_TERMS])
+        place = np.full(n_terms, -1)
+        place[kept] = np.arange(len(kept))
+        ok = place[term] >= 0
+        self._held, self._term, self._where, self._tongue = held, place[term[ok]], where[ok], tongue[held.owner]
+        self._kept, self._size, self._every = kept, size, every
+
+    def learn_terms(self, labels: list[set[int]], used: np.ndarray, rounds: int = 5) -> None:
+        """Log-odds of each term by subject from the documents marked in ``used``."""
+        k, held = len(self.names), self._held
+        inside = used[held.owner]
+        n_rows = len(held.owner)
+        may = np.full((n_rows, k + 1), np.log(0.02))  # a sentence may stray from its document's labels
+        allowed = np.zeros((held.n_docs, k), dtype=bool)
+        for d, chosen in enumerate(labels):
+            allowed[d, list(chosen)] = True
+        may[:, :k][allowed[held.owner]] = 0
         may[:, k] = np.log(0.1)  # or be of no subject
         post = np.exp(may)
         post /= post.sum(1, keepdims=True)
+        take = inside[self._where]
+        term, where = self._term[take], self._where[take]
+        lang, n_kept = self._tongue, len(self._kept)
+        n = np.bincount(term, minlength=n_kept)[:, None]
         for _ in range(rounds):
-            base = np.stack([(post[lang == t].sum(0) + 1) / ((lang == t).sum() + k + 1) for t in range(len(TONGUES))])
-            counts, due = np.zeros((len(kept), k)), np.zeros((len(kept), k))
+            base = np.stack([(post[inside & (lang == t)].sum(0) + 1) / ((inside & (lang == t)).sum() + k + 1) for t in range(len(TONGUES))])
+            counts, due = np.zeros((n_kept, k)), np.zeros((n_kept, k))
             for s in range(k):
-                counts[:, s] = np.bincount(flat, weights=post[at, s], minlength=len(kept))
-                due[:, s] = np.bincount(flat, weights=base[lang[at], s], minlength=len(kept))
-            n = np.bincount(flat, minlength=len(kept))[:, None]
+                counts[:, s] = np.bincount(term, weights=post[where, s], minlength=n_kept)
+                due[:, s] = np.bincount(term, weights=base[lang[where], s], minlength=n_kept)
             rate = due / np.maximum(n, 1)
             # how much likelier the subject is, given the term, than in the term's language; rare terms are drawn to 1
-            odds = np.log((counts + rate) / (due + rate))
-            self.weights = np.clip(odds, -1.5, 5).astype(np.float32)
-            self.weights *= self.weights.max(1, keepdims=True) > 0.8
-            score = np.stack([np.bincount(at, weights=self.weights[flat, s], minlength=len(rows)) for s in range(k)], 1)
-            full = np.concatenate([score, np.full((len(rows), 1), 1.0)], 1) + may
+            weights = np.clip(np.log((counts + rate + 1e-9) / (due + rate + 1e-9)), -1.5, 5)
+            self._weights = (weights * ((weights.max(1, keepdims=True) > 0.8) & (n >= 2))).astype(np.float32)
+            full = np.concatenate([self._sums(n_rows, where, self._weights, term), np.full((n_rows, 1), 1.0)], 1) + may
             full -= full.max(1, keepdims=True)
             post = np.exp(full)
             post /= post.sum(1, keepdims=True)
-        told = np.flatnonzero(self.weights.any(1))
-        self.vocab = {kept[i]: n for n, i in enumerate(told)}
-        self.weights = self.weights[told] if len(told) else np.zeros((1, k), dtype=np.float32)
 
-    def shares(self, docs: list[list[list[str]]]) -> list[tuple[np.ndarray, int]]:
+    def settle(self) -> None:
+        """Keep the terms that tell, for labelling, and let the labelled texts go."""
+        told = self._kept[self._weights.any(1)]
+        words, pairs = told[told < self._size], told[told >= self._size] - self._size
+        keys = self.pair_keys[pairs]
+        needed = np.unique(np.concatenate([words, keys // self._size, keys % self._size]))
+        renumber = np.full(self._size, -1)
+        renumber[needed] = np.arange(len(needed))
+        self.vocab = {t: int(renumber[i]) for t, i in self._every.items() if i >= 0 and renumber[i] >= 0} | ENDS
+        row = dict(zip(told.tolist(), np.flatnonzero(self._weights.any(1)).tolist(), strict=True))
+        self.n_words = len(needed)
+        by_word = np.zeros((len(needed), len(self.names)), dtype=np.float32)
+        for i in words:
+            by_word[renumber[i]] = self._weights[row[int(i)]]
+        fresh = renumber[keys // self._size] * len(needed) + renumber[keys % self._size]
+        order = np.argsort(fresh)
+        self.pair_keys = fresh[order]
+        by_pair = self._weights[[row[int(i) + self._size] for i in pairs[order]]] if len(pairs) else by_word[:0]
+        self.weights = np.concatenate([by_word, by_pair])
+        for name in ("_held", "_term", "_where", "_tongue", "_kept", "_size", "_every", "_weights"):
+            delattr(self, name)
+
+    def _sums(self, n_rows: int, where: np.ndarray, weights: np.ndarray, term: np.ndarray) -> np.ndarray:
+        some = weights.any(1)[term]
+        where, term = where[some], term[some]
+        return np.stack([np.bincount(where, weights=weights[term, s], minlength=n_rows) for s in range(len(self.names))], 1)
+
+    def shares(self, held: Sentences, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each document: the share of each subject (by words, by sentences), and its sentences with a subject."""
-        k, get = len(self.names), self.vocab.get
-        flat: list[int] = []
-        owner, lengths, ends = [], [], []
-        for d, sents in enumerate(docs):
-            for words in sents:
-                flat += [i for w in words if (i := get(w)) is not None]
-                flat += [i for w in zip(words, words[1:], strict=False) if (i := get(w)) is not None]
-                owner.append(d)
-                lengths.append(len(words))
-                ends.append(len(flat))
-        owner, lengths, ends = np.array(owner, dtype=np.int64), np.array(lengths), np.array(ends, dtype=np.int64)
-        sums = np.concatenate([np.zeros((1, k)), np.cumsum(self.weights[np.array(flat, dtype=np.int64)], axis=0, dtype=np.float64)])
-        score = sums[ends] - sums[np.concatenate([[0], ends[:-1]])] if len(ends) else np.zeros((0, k))
-        best = score.argmax(1) if len(ends) else owner
-        clear = score.max(1) >= 2.0 if len(ends) else owner > 0
-        out = np.zeros((len(docs), 2, k))
-        np.add.at(out, (owner[clear], 0, best[clear]), lengths[clear])
-        np.add.at(out, (owner[clear], 1, best[clear]), 1)
-        told = np.bincount(owner[clear], minlength=len(docs))
-        whole = np.zeros((len(docs), k))
-        np.add.at(whole, owner, score)
-        for d in np.flatnonzero(told == 0):  # nothing clear: the whole text by all its terms
-            if whole[d].any():
-                out[d, :, whole[d].argmax()] = 1
+        best, clear = score.argmax(1), score.max(1) >= 2.0
+        out = np.zeros((held.n_docs, 2, len(self.names)))
+        np.add.at(out, (held.owner[clear], 0, best[clear]), held.words[clear])
+        np.add.at(out, (held.owner[clear], 1, best[clear]), 1)
+        told = np.bincount(held.owner[clear], minlength=held.n_docs)
+        whole = np.zeros((held.n_docs, len(self.names)))
+        np.add.at(whole, held.owner, score)
+        vague = np.flatnonzero((told == 0) & whole.any(1))  # nothing clear: the whole text by all its terms
+        out[vague, :, whole[vague].argmax(1)] = 1
         total = out.sum(2, keepdims=True)
-        out = np.divide(out, total, out=np.zeros_like(out), where=total > 0)
-        return [(out[d], int(told[d])) for d in range(len(docs))]
+        return np.divide(out, total, out=np.zeros_like(out), where=total > 0), told
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``shares`` of new texts."""
+        held = Sentences(texts, self.vocab)
+        at, keys = held.pairs(self.n_words)
+        place = np.minimum(np.searchsorted(self.pair_keys, keys), max(0, len(self.pair_keys) - 1))
+        hit = self.pair_keys[place] == keys if len(self.pair_keys) else np.zeros(len(keys), dtype=bool)
+        word = np.flatnonzero(held.ids >= 0)
+        term = np.concatenate([held.ids[word], self.n_words + place[hit]])
+        where = held.sentence[np.concatenate([word, at[hit]])]
+        return self.shares(held, self._sums(len(held.owner), where, self.weights, term))
 
     # the chain
     def features(self, share: np.ndarray, told: int, subject: int, chosen: tuple[int, ...], meta: tuple) -> list[float]:
@@ -223,18 +288,23 @@ class SubjectModel:
         some = [b for b in beams if b[1]] or [(0.0, (self.order(share)[0],))]
         return some[0][1], float(np.exp(min(0.0, some[0][0])))
 
-    def label(self, text: str | None, meta: tuple) -> list[tuple[str, float, float]]:
-        return self.labels([text], [meta])[0]
-
-    def labels(self, texts: list[str | None], metas: list[tuple]) -> list[list[tuple[str, float, float]]]:
+    def labels(self, texts: list[str | None], metas: list[tuple], block: int = 2000) -> list[list[tuple[str, float, float]]]:
         """(subject, share, probability) of each text, none for texts without words."""
         out: list[list] = [[] for _ in texts]
         if not self.names or not len(self.chain):
             return out
-        at = [i for i, t in enumerate(texts) if t is not None and t.strip()]
-        for i, (share, told) in zip(at, self.shares([sentences(texts[i]) for i in at]), strict=True):
-            chosen, p = self.decode(share, told, metas[i])
-            out[i] = [(self.names[s], float(share[0, s]), p) for s in chosen]
+        every = [i for i, t in enumerate(texts) if t is not None and t.strip()]
+        for b in range(0, len(every), block):
+            at = every[b : b + block]
+            shares, told = self.read([texts[i] for i in at])
+            for i, share, n in zip(at, shares, told.tolist(), strict=True):
+                key = (share.tobytes(), n, metas[i])
+                if key not in self.memo:
+                    if len(self.memo) > 100_000:
+                        self.memo.clear()
+                    self.memo[key] = self.decode(share, n, metas[i])
+                chosen, p = self.memo[key]
+                out[i] = [(self.names[s], float(share[0, s]), p) for s in chosen]
         return out
 
 
@@ -245,22 +315,27 @@ def meta_of(source: str | None, kind: str | None, lang: str | None) -> tuple:
 def fit(rows: list[tuple], names: list[str]) -> SubjectModel:
     """A model from (doc_id, text, source, doc_type, lang, subjects) of labelled documents."""
     model = SubjectModel(names)
-    docs = []
-    for doc_id, text, source, kind, lang, subjects in sorted(rows, key=lambda r: r[0]):
-        labels = {model.index[s] for s in subjects if s in model.index}
-        if labels and text and text.strip():
-            docs.append((doc_id, sentences(text), meta_of(source, kind, lang), labels))
-    if not docs:
+    texts, metas, labels = [], [], []
+    for _, text, source, kind, lang, subjects in sorted(rows, key=lambda r: r[0]):
+        chosen = {model.index[s] for s in subjects if s in model.index}
+        if chosen and text and text.strip():
+            texts.append(text)
+            metas.append(meta_of(source, kind, lang))
+            labels.append(chosen)
+    if not texts:
         return model
-    # shares of a fifth of the documents come from terms learned on the others, else the chain trusts them too much
-    folds, seen = 3, []
+    model.gather(texts)
+    # the chain learns from shares by terms learned on other documents, else it trusts them too much
+    folds, at, held = 3, np.arange(len(texts)), model._held
+    share, told = np.zeros((len(texts), 2, len(names))), np.zeros(len(texts), dtype=int)
     for f in range(folds):
-        model.learn_terms([(s, y) for i, (_, s, _, y) in enumerate(docs) if i % folds != f])
-        left = [(i, s, m, y) for i, (_, s, m, y) in enumerate(docs) if i % folds == f]
-        seen += [(i, (*got, m, y)) for (i, _, m, y), got in zip(left, model.shares([s for _, s, *_ in left]), strict=True)]
-    rows_ = [r for _, r in sorted(seen, key=lambda x: x[0])]
-    model.learn_chain([r for i, r in enumerate(rows_) if i % 5], [r for i, r in enumerate(rows_) if i % 5 == 0])
-    model.learn_terms([(s, y) for _, s, _, y in docs])
+        model.learn_terms(labels, at % folds != f)
+        s, n = model.shares(held, model._sums(len(held.owner), model._where, model._weights, model._term))
+        share[at % folds == f], told[at % folds == f] = s[at % folds == f], n[at % folds == f]
+    seen = [(share[i], int(told[i]), metas[i], labels[i]) for i in at]
+    model.learn_chain([r for i, r in enumerate(seen) if i % 5], [r for i, r in enumerate(seen) if i % 5 == 0])
+    model.learn_terms(labels, np.ones(len(texts), dtype=bool))
+    model.settle()
     return model
 
 
