@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import canonical, cooccurrence, leakage, neardup, subjects, survivors, tokens
+from . import canonical, cooccurrence, leakage, neardup, scans, subjects, survivors, tokens
 
 
 def _texts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -74,6 +74,19 @@ def p6_fused(spark: SparkSession, d: str) -> DataFrame:
     return survivors.fused(_groups(spark, d))
 
 
+def _scans(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    opinions = table(spark, d, "opinions")
+    return opinions.select("text"), scans.scanned_opinions(opinions, table(spark, d, "stage_opinions"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.faulty_lines(*_scans(spark, d)).select(F.col("id").cast("int").alias("opinion_id"), "line_no", "kind")
+
+
+def p7_text(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repaired_texts(*_scans(spark, d)).select(F.col("id").cast("int").alias("opinion_id"), "text")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
