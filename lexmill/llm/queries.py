@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import canonical, cooccurrence, leakage, neardup, scans, subjects, survivors, tokens
+from . import canonical, cooccurrence, leakage, neardup, neighbours, scans, subjects, survivors, tokens
 
 
 def _texts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -62,6 +62,28 @@ def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return _resolved(spark, d).where("reporter_id = 0").groupBy("table_name", "value").agg(F.countDistinct("row_id").alias("n_rows"))
 
 
+VECTORS = ("usc_chunks", "opinion_paragraphs")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Only pairs of cosine 0.9 and more are asked for, so queries go no further than such a pair can reach."""
+    out = None
+    for name in VECTORS:
+        near = neighbours.nearest_vectors(table(spark, d, name), k=5, reach=0.12, beam=16, degree=12).where("cosine >= 0.9")
+        rows = near.select(F.lit(name).alias("table_name"), F.least("id", "other").cast("int").alias("id_a"), F.greatest("id", "other").cast("int").alias("id_b"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.distinct()
+
+
+def p5_knn(spark: SparkSession, d: str) -> DataFrame:
+    """The 5 nearest of every id divisible by 20, among all rows, by all shards."""
+    out = None
+    for name in VECTORS:
+        near = neighbours.nearest_vectors(table(spark, d, name), k=5, beam=40, degree=20, asked=20).withColumn("table_name", F.lit(name))
+        out = near if out is None else out.unionByName(near)
+    return out.select("table_name", "id", "other", F.round("cosine", 5).alias("cosine"))
+
+
 def _groups(spark: SparkSession, d: str) -> DataFrame:
     return survivors.anchor_groups(table(spark, d, "stage_doctrine_anchors"), table(spark, d, "source_keywords"))
 
