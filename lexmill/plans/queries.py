@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import orphans
 from ..sources.tables import table
+from . import search_queries
 
 
 def _broken(spark: SparkSession, d: str) -> DataFrame:
@@ -39,13 +40,22 @@ broken AS (
 """
 
 
+FAMILIES = (search_queries,)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p4_report": p4_report}
+    out: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p4_found": p4_found, "p4_report": p4_report}
+    for family in FAMILIES:
+        out |= family.QUERIES
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    out = {
         "p4_found": _P4 + "SELECT DISTINCT table_name, row_id, ref_id, reason FROM broken",
         "p4_report": _P4
         + "SELECT table_name, strftime(created_at, '%Y-%m') AS month, reason, count(*) AS n_refs, count(DISTINCT row_id) AS n_rows FROM broken GROUP BY 1, 2, 3",
     }
+    for family in FAMILIES:
+        out |= family.SQL
+    return out
