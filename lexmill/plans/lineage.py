@@ -35,3 +35,14 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread, how: st
     left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+MOST_BROADCAST_ROWS = 200_000
+
+
+def sized(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, else as it is, for a shuffled join.
+
+    For narrow rows only: ``most`` of them are to fit a task's memory many times over.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
