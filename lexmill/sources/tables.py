@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers on this file system import the package, wherever the driver was started.
+
+    On a cluster that does not share it, ship the package with ``--py-files``.
+    """
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of ``sf_dir``."""
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
