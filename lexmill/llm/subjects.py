@@ -86,10 +86,14 @@ class SubjectModel:
         self.weights = np.zeros((0, len(names)), dtype=np.float32)  # of the words, then of the pairs
         self.chain, self.joint, self.heat = np.zeros(0), np.zeros((len(names), len(names))), 1.0
         self.memo: dict = {}
+        self.clear = 2.0  # what a sentence's terms must add up to
 
     # terms
-    def gather(self, texts: list[str]) -> None:
+    def gather(self, texts: list[str], labels: list[set[int]]) -> None:
         """Number the words and pairs of the labelled texts, and find which stand in which sentence."""
+        often = max(sum(s in chosen for chosen in labels) for s in range(len(self.names))) / len(texts)
+        # what stands in a quarter of a language's documents belongs to no subject, unless the subjects are few
+        most = min(0.9, max(0.25, 2 * often))
         every: dict[str, int] = {}
         for text in texts:
             for t in tokens_of(text):
@@ -113,9 +117,8 @@ class SubjectModel:
         df = np.bincount(of_term, minlength=n_terms)
         keep = df >= 2
         for t in range(len(TONGUES)):
-            # what stands in a quarter of a language's documents belongs to no subject
             n = int((tongue == t).sum())
-            keep &= np.bincount(of_term[tongue[of_doc] == t], minlength=n_terms) <= max(3, 0.25 * n)
+            keep &= np.bincount(of_term[tongue[of_doc] == t], minlength=n_terms) <= max(3, most * n)
         kept = np.flatnonzero(keep)
         kept = np.sort(kept[np.argsort(-df[kept], kind="stable")][:MOST_TERMS])
         place = np.full(n_terms, -1)
@@ -150,7 +153,10 @@ class SubjectModel:
             rate = due / np.maximum(n, 1)
             # how much likelier the subject is, given the term, than in the term's language; rare terms are drawn to 1
             weights = np.clip(np.log((counts + rate + 1e-9) / (due + rate + 1e-9)), -1.5, 5)
-            self._weights = (weights * ((weights.max(1, keepdims=True) > 0.8) & (n >= 2))).astype(np.float32)
+            # the most that a term can say for the commonest subject; with few subjects it is little
+            can = -np.log(min(0.9, (post[inside].sum(0)[:k] + 1).max() / (inside.sum() + k + 1)))
+            self.clear = min(2.0, 0.9 * can)
+            self._weights = (weights * ((weights.max(1, keepdims=True) > min(0.8, 0.4 * can)) & (n >= 2))).astype(np.float32)
             full = np.concatenate([self._sums(n_rows, where, self._weights, term), np.full((n_rows, 1), 1.0)], 1) + may
             full -= full.max(1, keepdims=True)
             post = np.exp(full)
@@ -185,7 +191,7 @@ class SubjectModel:
 
     def shares(self, held: Sentences, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each document: the share of each subject (by words, by sentences), and its sentences with a subject."""
-        best, clear = score.argmax(1), score.max(1) >= 2.0
+        best, clear = score.argmax(1), score.max(1) >= self.clear
         out = np.zeros((held.n_docs, 2, len(self.names)))
         np.add.at(out, (held.owner[clear], 0, best[clear]), held.words[clear])
         np.add.at(out, (held.owner[clear], 1, best[clear]), 1)
@@ -324,7 +330,7 @@ def fit(rows: list[tuple], names: list[str]) -> SubjectModel:
             labels.append(chosen)
     if not texts:
         return model
-    model.gather(texts)
+    model.gather(texts, labels)
     # the chain learns from shares by terms learned on other documents, else it trusts them too much
     folds, at, held = 3, np.arange(len(texts)), model._held
     share, told = np.zeros((len(texts), 2, len(names))), np.zeros(len(texts), dtype=int)
