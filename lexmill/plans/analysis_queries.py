@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import matching, temporal, voting
+from ..operators import citations, matching, temporal, voting
 from ..operators.ids import first_by
+from ..sources.sinks import case_documents, markdown, valid_records
 from ..sources.tables import table
+from ..streaming import incremental
 from .text_queries import _C, _cases
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -246,7 +248,54 @@ def pricing_summary(spark: SparkSession, d: str) -> DataFrame:
     return li.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(net), 0).alias("sum_net"), F.round(F.avg("l_discount"), 6).alias("avg_disc"), F.count(F.lit(1)).alias("n"))
 
 
+def cited_places(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "opinions").where("text is not null").groupBy("id").agg(F.min("text").alias("text"))
+    return citations.case_citations(o, table(spark, d, "reporters")).select("id", "norm", "volume", "page")
+
+
+LAW = "CASE id % 4 WHEN 0 THEN 'under ' || (id % 50) || ' U.S.C. § ' || id || ' and more' WHEN 1 THEN 'see 29 C.F.R. § 1910.' || id WHEN 2 THEN (id % 60) || ' RCNY § 4-0' || (id % 9) || ' applies' ELSE 'CA Code § ' || id END"
+
+
+def laws(spark: SparkSession, d: str) -> DataFrame:
+    c = _cases(spark, d).select("id", F.expr(LAW).alias("text"))
+    return citations.law_citations(c).groupBy("kind", F.split("curie", ":")[0].alias("code")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("curie").alias("n_places"))
+
+
+def stream_counts(spark: SparkSession, d: str) -> DataFrame:
+    table(spark, d, "events")
+    live = spark.readStream.schema("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").option("pathGlobFilter", "events.parquet").parquet(d)
+    return incremental.drained(spark, incremental.windowed_counts(live, "ts", ["event_type"], "6 hours"), "counts")
+
+
+def documents_json(spark: SparkSession, d: str) -> DataFrame:
+    cases = _cases(spark, d).select("id", "name", "curie")
+    cites = table(spark, d, "case_citations").select("case_id", F.col("cited_case").alias("cite"), F.col("category").alias("citation_type")).where("cite is not null")
+    o = table(spark, d, "opinions").select("case_id", "opinion_index", "opinion_type", "author", "text").distinct()
+    doc = case_documents(cases, cites, o)
+    return doc.select("id", F.get_json_object("document", "$.name").alias("name"), F.json_array_length(F.get_json_object("document", "$.opinions")).alias("n_opinions"))
+
+
+def record_rules(spark: SparkSession, d: str) -> DataFrame:
+    good, lacks = valid_records(table(spark, d, "usc_chunks"), ["element_id", "heading", "original_text"])
+    return lacks.join(F.broadcast(good.agg(F.count(F.lit(1)).alias("n_valid"))))  # one row each
+
+
+def rendered(spark: SparkSession, d: str) -> DataFrame:
+    u = table(spark, d, "usc_chunks").where("element_id is not null").select("id", "element_id", "content_type", F.coalesce("heading", F.lit("-")).alias("h"), "original_text").distinct()
+    title = F.regexp_extract("element_id", "/(t[0-9]+)", 1)
+    md = markdown(u.withColumn("t", title), "t", ["element_id", "id"], F.size(F.split("element_id", "/")) - 3, F.col("h"), F.when(F.col("content_type") == "body", F.col("original_text")))
+    return md.select("t", F.length("text").alias("n"), F.md5("text").alias("digest"))
+
+
+def formats(spark: SparkSession, d: str) -> DataFrame:
+    """What the heads of files tell of their format, as an expression over columns."""
+    c = _cases(spark, d).select("id", F.expr("CASE id % 4 WHEN 0 THEN '%PDF-1.7' WHEN 1 THEN '<div class=\"case-info\">' WHEN 2 THEN '<TABLE bgcolor=\"#FFFF80\">' ELSE 'text' END").alias("head"))
+    kind = F.when(F.col("head").startswith("%PDF"), "pdf").when(F.contains("head", F.lit('class="case-info"')), "html-modern").when(F.lower("head").rlike('<table[^>]*bgcolor="?#ffff80'), "html-legacy").otherwise("unknown")
+    return c.groupBy(kind.alias("format")).agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
+    "citation_extract": cited_places, "statute_citation_stats": laws, "stream_window_counts": stream_counts, "case_json_documents": documents_json, "record_validity": record_rules, "markdown_sections": rendered, "format_detect": formats,
     "current_version_asof": versions, "latest_text_version": latest, "asof_last_banner": asof, "interval_roster_lookup": roster_spans, "range_islands": islands, "section_carry_forward": banners,
     "boundary_ranges": ranges, "page_position_name": positions, "adjacent_duplicates": adjacent, "duplicate_identifier_check": seen_before, "marker_spacing": pages_kept,
     "roster_majority_vote": lambda spark, d: voting.roster(voters(spark, d), "surname", "department").withColumn("confidence", F.round("confidence", 6)),
@@ -277,6 +326,24 @@ f AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY best_score DESC,
 _PAY = """p AS (SELECT DISTINCT opinion_curie, keyword_id, relevance_score, category FROM opinion_keywords WHERE opinion_curie IS NOT NULL)"""
 
 SQL = {
+    "statute_citation_stats": f"""WITH c AS (SELECT id FROM ({_C})) SELECT CASE id % 4 WHEN 0 THEN 'statute' WHEN 3 THEN 'statute' ELSE 'rules' END AS kind, CASE id % 4 WHEN 0 THEN 'usc' WHEN 1 THEN 'cfr' WHEN 2 THEN 'rcny' ELSE 'ca' END AS code, count(*) AS n,
+  count(DISTINCT CASE id % 4 WHEN 0 THEN (id % 50) || '-' || id WHEN 2 THEN (id % 60) || '-' || (id % 9) ELSE id::VARCHAR END) AS n_places FROM c GROUP BY 1, 2""",
+    "citation_extract": r"""WITH f AS (SELECT DISTINCT f, norm FROM (SELECT unnest(list_distinct(list_concat([canonical], coalesce(aliases, [])))) AS f, norm FROM reporters)),
+p AS (SELECT '\b([0-9]{1,4})\s+(' || string_agg(regexp_replace(replace(f, '.', '\.?'), '\s+', '\\s*', 'g'), '|' ORDER BY length(f) DESC, f) || ')\s+([0-9]{1,5})\b' AS p FROM f),
+n AS (SELECT upper(regexp_replace(f, '[\s.]+', '', 'g')) AS token, min(norm) AS norm FROM f GROUP BY 1),
+o AS (SELECT id, trim(regexp_replace(regexp_replace(min(text), '-\s*\n\s*', '', 'g'), '[ \t\r\n\f]+', ' ', 'g')) AS t FROM opinions WHERE text IS NOT NULL GROUP BY id),
+r AS (SELECT id, unnest(regexp_extract_all(t, p)) AS raw FROM o, p),
+g AS (SELECT id, regexp_extract(raw, '^([0-9]+)', 1)::INT AS volume, regexp_extract(raw, '([0-9]+)$', 1)::INT AS page, upper(regexp_replace(regexp_extract(raw, '^[0-9]+\s+(.*)\s+[0-9]+$', 1), '[\s.]+', '', 'g')) AS token FROM r)
+SELECT DISTINCT id, n.norm, volume, page FROM g JOIN n USING (token) WHERE volume > 0 AND page > 0""",
+    "stream_window_counts": "SELECT time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "case_json_documents": f"""WITH c AS ({_C}), o AS (SELECT case_id, count(*) AS n FROM (SELECT DISTINCT case_id, opinion_index, opinion_type, author, text FROM opinions) GROUP BY 1)
+SELECT c.id, name, o.n AS n_opinions FROM c LEFT JOIN o ON o.case_id = c.id""",
+    "record_validity": """SELECT count(*) FILTER (WHERE coalesce(trim(element_id), '') = '') AS lacks_element_id, count(*) FILTER (WHERE coalesce(trim(heading), '') = '') AS lacks_heading, count(*) FILTER (WHERE coalesce(trim(original_text), '') = '') AS lacks_original_text,
+  count(*) FILTER (WHERE coalesce(trim(element_id), '') <> '' AND coalesce(trim(heading), '') <> '' AND coalesce(trim(original_text), '') <> '') AS n_valid FROM usc_chunks""",
+    "markdown_sections": """WITH u AS (SELECT DISTINCT id, element_id, content_type, coalesce(heading, '-') AS h, original_text FROM usc_chunks WHERE element_id IS NOT NULL),
+p AS (SELECT regexp_extract(element_id, '/(t[0-9]+)', 1) AS t, element_id, id, repeat('#', CAST(least(greatest(len(string_split(element_id, '/')) - 3, 1), 6) AS INT)) || ' ' || h || CASE WHEN content_type = 'body' AND coalesce(original_text, '') <> '' THEN chr(10) || chr(10) || original_text ELSE '' END AS piece FROM u),
+m AS (SELECT t, string_agg(piece, chr(10) || chr(10) ORDER BY element_id, id) AS text FROM p GROUP BY t) SELECT t, length(text) AS n, md5(text) AS digest FROM m""",
+    "format_detect": f"SELECT CASE id % 4 WHEN 0 THEN 'pdf' WHEN 1 THEN 'html-modern' WHEN 2 THEN 'html-legacy' ELSE 'unknown' END AS format, count(*) AS n FROM ({_C}) GROUP BY 1",
     "current_version_asof": """WITH v AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to FROM events), m AS (SELECT max(ts) - INTERVAL 10 DAYS AS mid FROM events)
 SELECT user_id, event_id, ts, valid_to FROM v, m WHERE ts <= mid AND (valid_to IS NULL OR valid_to > mid) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "latest_text_version": "SELECT user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
