@@ -164,6 +164,11 @@ def test_vectors(spark):
     assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
     assert sum(len(set(got[i]) & set(want[i])) for i in want) >= 0.9 * 5 * len(want)
     assert got[910][:2] == [7, 911] or set(got[910][:2]) == {7, 911}
+    hot = spark.createDataFrame([(i, x[0].tolist() if i % 3 == 0 else x[i].tolist()) for i in range(300)], "id int, embedding array<float>")
+    ties = {}
+    for r in V.nearest_vectors(hot, k=5, shard=100).collect():
+        ties.setdefault(r.id, []).append(r.other)
+    assert sorted(ties[0]) == [3, 6, 9, 12, 15] and sorted(ties[99]) == [0, 3, 6, 9, 12] and all(len(v) == 5 for v in ties.values()) and len(ties) == 300
     some = {r.id for r in V.nearest_vectors(df, k=5, shard=200, asked=20).collect()}
     assert some == {i for i in ids if i % 20 == 0}
     assert V.nearest_vectors(df.limit(0)).count() == 0
