@@ -131,7 +131,9 @@ def batch_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def errors(spark: SparkSession, d: str) -> DataFrame:
     e = _events(spark, d).where("event_type = 'error'").withColumn("k", F.get_json_object("props", "$.k"))
-    return e.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.slice(F.sort_array(F.collect_list("event_id")), 1, 5), ",").alias("first_ids"))
+    place = F.row_number().over(Window.partitionBy("k").orderBy("event_id"))
+    first = e.withColumn("place", place).where("place <= 5").groupBy("k").agg(F.array_join(F.sort_array(F.collect_list("event_id")), ",").alias("first_ids"))
+    return e.groupBy("k").agg(F.count(F.lit(1)).alias("n")).join(first, "k")
 
 
 def tiers(spark: SparkSession, d: str) -> DataFrame:
@@ -162,8 +164,11 @@ def queue(spark: SparkSession, d: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "opinions").where("curie is not null").select("source_ref", "curie")
-    return o.groupBy("source_ref").agg(F.countDistinct("curie").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_set("curie")), "\n"), 256).alias("digest"))
+    """A digest of each source's identifiers: of the digests of its parts, so that no source is gathered in one place."""
+    o = table(spark, d, "opinions").where("curie is not null").select("source_ref", "curie").distinct().withColumn("part", F.substring(F.md5("curie"), 1, 3))
+    parts = o.groupBy("source_ref", "part").agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("curie")), "\n"), 256).alias("p"))
+    whole = F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "p"))), lambda x: x.p), "\n"), 256)
+    return parts.groupBy("source_ref").agg(F.sum("n").alias("n"), whole.alias("digest"))
 
 
 def freshness(spark: SparkSession, d: str) -> DataFrame:
@@ -394,7 +399,8 @@ SELECT tier, n, round(n * 100.0 / sum(n) OVER (), 1) AS pct FROM g""",
     "department_skew_tripwire": f"""WITH g AS (SELECT court_id, court_department, count(*) AS c FROM ({_C}) WHERE court_id IS NOT NULL GROUP BY ALL), w AS (SELECT *, CAST(sum(c) OVER (PARTITION BY court_id) AS BIGINT) AS n FROM g)
 SELECT court_id, court_department, n, round(c / n, 6) AS share FROM w WHERE n >= 10 AND c / n > 0.6""",
     "resume_queue_antijoin": "SELECT DISTINCT id, curie FROM opinions o WHERE NOT coalesce(is_valueless, false) AND curie IS NOT NULL AND NOT EXISTS (SELECT 1 FROM opinion_keywords k WHERE k.opinion_curie = o.curie)",
-    "compile_hash_manifest": "SELECT source_ref, count(DISTINCT curie) AS n, sha256(string_agg(DISTINCT curie, chr(10) ORDER BY curie)) AS digest FROM opinions WHERE curie IS NOT NULL GROUP BY 1",
+    "compile_hash_manifest": """WITH p AS (SELECT source_ref, substr(md5(curie), 1, 3) AS part, count(*) AS n, sha256(string_agg(curie, chr(10) ORDER BY curie)) AS p FROM (SELECT DISTINCT source_ref, curie FROM opinions WHERE curie IS NOT NULL) GROUP BY 1, 2)
+SELECT source_ref, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(p, chr(10) ORDER BY part)) AS digest FROM p GROUP BY 1""",
     "freshness_state": """WITH a AS (SELECT curie, min(sha256(coalesce(text, ''))) AS a FROM stage_opinions WHERE curie IS NOT NULL GROUP BY 1), b AS (SELECT curie, min(sha256(coalesce(text, ''))) AS b FROM opinions WHERE curie IS NOT NULL GROUP BY 1)
 SELECT CASE WHEN b IS NULL THEN 'new' WHEN a = b THEN 'fresh' ELSE 'stale' END AS state, count(*) AS n FROM a LEFT JOIN b USING (curie) GROUP BY 1""",
     "payload_expand": f"WITH {_PAY} SELECT opinion_curie, category, keyword_id, relevance_score AS relevance FROM p WHERE category IN ('doctrine', 'field_of_law')",
