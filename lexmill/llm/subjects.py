@@ -9,7 +9,7 @@ rounds of expectation-maximisation over their sentences, since a label names the
 sentence goes to its likeliest subject, and the shares of the sentences and words of each subject are the features of the
 chain, with the number of sentences, the source's family, the document's kind and its language.
 
-The model is fitted on at most ``MOST_LABELLED`` labelled documents, chosen by hash of doc_id; everything else covers all
+The model is fitted on at most ``MOST_LABELLED`` labelled documents of at most ``MOST_CHARS`` characters, chosen by hash of doc_id; everything else covers all
 documents, and whole texts. The model goes to the tasks as one broadcast: it holds at most ``MOST_TERMS`` terms.
 
 Defined cases: null, empty and blank texts have no subject; any other text has one or two; labels of unknown documents,
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MOST_LABELLED = 6_000
+MOST_CHARS = 100_000
 MOST_TERMS = 200_000
 BEAM = 8
 MOST_LABELS = 2
@@ -364,7 +365,8 @@ def labelled(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
     """At most ``most`` labelled documents for the driver, chosen by hash of doc_id."""
     by_doc = labels.where("doc_id is not null and subject is not null").groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("subjects"))
     by_doc = by_doc.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = documents.select("doc_id", "text", "source", "doc_type", "lang").join(by_doc, "doc_id").dropDuplicates(["doc_id"]).collect()
+    short = documents.select("doc_id", "text", "source", "doc_type", "lang").where(F.length("text") <= MOST_CHARS)
+    rows = short.join(by_doc, "doc_id").dropDuplicates(["doc_id"]).collect()
     return [(r.doc_id, r.text, r.source, r.doc_type, r.lang, r.subjects) for r in rows]
 
 
