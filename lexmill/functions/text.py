@@ -137,7 +137,7 @@ def natural_key(text: Column, width: int = 6) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^[0-9]") & (F.length(p) < width), F.lpad(p, width, "0")).otherwise(p)), "")
 
 
-#: shapes of a rule's address, and what each becomes: the kind's prefix, and the groups joined after the title
+# fixed values: the shapes of a rule's address, and what each becomes: the kind's prefix, and the groups joined after the title
 ADDRESSES = (
     (r"^T([0-9]+)C[A-Za-z0-9.]+_(.+)$", "", "{2}"),
     (r"^T([0-9]+)App([A-Z]+)[_-](.+)$", "", "App{2}-{3}"),
@@ -215,6 +215,10 @@ def normal_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"[ \t\r\n\f]+", " "))
 
 
+# fixed values: the words that tell legal text, and the bounds of the other signs
+LEGAL_WORDS = r"\b(court|judge|opinion|ruling|case|law|legal|statute|defendant|plaintiff|appeal|motion|judgment)\b"
+
+
 def quality_flags(text: Column) -> dict[str, Column]:
     """Eight signs of readable text."""
     n = F.length(text)
@@ -223,7 +227,7 @@ def quality_flags(text: Column) -> dict[str, Column]:
     density = count / F.greatest(n, F.lit(1)) * 1000
     mean = F.aggregate(words, F.lit(0), lambda a, w: a + F.length(w)) / F.greatest(count, F.lit(1))
     return {
-        "legal": F.lower(text).rlike(r"\b(court|judge|opinion|ruling|case|law|legal|statute|defendant|plaintiff|appeal|motion|judgment)\b"),
+        "legal": F.lower(text).rlike(LEGAL_WORDS),
         "substantial": F.size(F.filter(F.split(text, "[.!?]+"), lambda s: F.length(F.trim(s)) > 20)) >= 5,
         "structured": F.size(F.filter(F.split(text, "\n"), lambda s: F.length(F.trim(s)) > 10)) >= 3,
         "dense": (density > 3) & (density < 8),

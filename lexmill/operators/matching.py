@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import set_similarity, trigrams
 
+# fixed values: the thresholds of a decision
 FLOOR, MARGIN, NAME_MARGIN, TIE, TOP = 0.25, 0.10, 0.05, 0.001, 10
 
 

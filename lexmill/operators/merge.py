@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .ids import dense_ids, first_by
 
+# fixed values: from the weakest to the strongest
 TIER_RANK = ("uncurated", "llm_classified", "expert_reviewed")
 STATUS_RANK = ("dismissed", "pending", "promoted")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .tables import reachable
 
+# fixed values: the levels of a law
 LEVELS = ("title", "subtitle", "chapter", "subchapter", "part", "subpart", "section", "subsection", "paragraph", "subparagraph", "clause", "subclause", "item")
 _MARKS = re.compile(r"^(?:\s*\([0-9A-Za-z]+\))+\s*")
 
