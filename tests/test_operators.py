@@ -131,3 +131,15 @@ def test_search_refuses_unknown_strategies(spark, sf):
 
     with pytest.raises(ValueError):
         search.hybrid_search(corpus(spark, sf), ["a"], "none")
+
+
+def test_spans(spark):
+    from lexmill.operators import spans
+
+    s = spark.createDataFrame([(1, 5, 10, 30), (1, 8, 12, 30), (1, 12, 13, 30), (1, 20, 25, 30), (2, 0, 30, 30)], "k int, start int, end int, n int")
+    assert sorted((r.k, r.start, r.end) for r in spans.merged(s, ["k"]).collect()) == [(1, 5, 13), (1, 20, 25), (2, 0, 30)]
+    assert sorted((r.k, r.start, r.end) for r in spans.complement(s, ["k"], "n").collect()) == [(1, 0, 5), (1, 13, 20), (1, 25, 30)]
+    t = spark.createDataFrame([("abcdef", [2, 4, 9, 0])], "t string, o array<bigint>")
+    assert t.select(spans.segments(F.col("t"), F.col("o")).alias("x")).first().x == ["ab", "cd", "ef"]
+    m = spark.createDataFrame([([100, 3, 4, 40, 6, 1, 2],)], "m array<int>")
+    assert m.select(spans.plausible_sequence(F.col("m")).alias("x")).first().x == [3, 4, 6, 1, 2]
