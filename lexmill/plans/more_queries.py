@@ -46,7 +46,7 @@ def _breaks(spark: SparkSession, d: str) -> DataFrame:
 
 def page_lookup(spark: SparkSession, d: str) -> DataFrame:
     b = _breaks(spark, d).select("curie", "marks", F.explode(F.array(*(F.lit(k) for k in (100, 1500, 4000)))).alias("at"))
-    return b.select("curie", "at", spans.page_at(F.col("marks"), F.col("at")).alias("page"))
+    return b.select("curie", F.col("at").alias("place"), spans.page_at(F.col("marks"), F.col("at")).alias("page"))
 
 
 def page_segments(spark: SparkSession, d: str) -> DataFrame:
@@ -235,7 +235,7 @@ _ROSTER = "(SELECT court_id, court_department, n FROM (SELECT court_id, court_de
 SQL = {
     "batch_result_states": "SELECT CASE o_orderkey % 4 WHEN 0 THEN 'api_error' WHEN 1 THEN 'parse_error' WHEN 2 THEN 'valueless' ELSE 'ok' END AS state, count(*) AS n, min(o_orderkey) AS first_id FROM orders GROUP BY 1",
     "descriptor_normalisation": "WITH r AS (SELECT id, trim(keyword_text) AS t FROM source_keywords WHERE keyword_text IS NOT NULL), i AS (SELECT t, row_number() OVER (ORDER BY t) AS descriptor_id FROM (SELECT DISTINCT t FROM r)) SELECT id, descriptor_id FROM r JOIN i USING (t)",
-    "offset_page_lookup": f"WITH {_B} SELECT curie, v.k AS "at", len(list_filter(marks, lambda m: m <= v.k)) AS page FROM b, (VALUES (100), (1500), (4000)) v(k)",
+    "offset_page_lookup": f"WITH {_B} SELECT curie, v.k AS place, len(list_filter(marks, lambda m: m <= v.k)) AS page FROM b, (VALUES (100), (1500), (4000)) v(k)",
     "marker_segments": f"""WITH {_B}, s AS (SELECT curie, text, list_concat([0], list_sort(list_distinct(list_filter(marks, lambda m: m > 0 AND m < length(text))))) AS st FROM b),
 e AS (SELECT curie, text, st, unnest(range(1, len(st) + 1)) AS i FROM s), g AS (SELECT curie, i - 1 AS n, substr(text, st[i] + 1, coalesce(st[i + 1], length(text)) - st[i]) AS segment FROM e)
 SELECT curie, n, length(segment) AS length, md5(segment) AS digest FROM g""",

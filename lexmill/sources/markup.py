@@ -202,3 +202,47 @@ def links(html: str, end: str = "") -> list[str]:
     page = _Page()
     page.feed(html)
     return [x for x in page.links if x.lower().endswith(end)]
+
+
+def law_tree(tree: dict | str, code: str = "law") -> list[tuple[str, str | None, int, str, str, str]]:
+    """(id, parent, depth, type, label, text) of a law given as nested documents, a root for the whole law first.
+
+    A node without a place of its own hands its children to its parent; repealed ones are kept.
+    """
+    import json
+
+    if isinstance(tree, str):
+        try:
+            tree = json.loads(tree)
+        except ValueError:
+            return []
+    law = (tree.get("result") or {}) if isinstance(tree, dict) else {}
+    info = law.get("info") or {}
+    key = f"{code}:{info.get('lawId', '')}".lower()
+    rows = [(f"{key}:law", None, 0, "law", info.get("name") or info.get("lawId") or "", "")]
+
+    def visit(node: dict | None, parent: str, depth: int) -> None:
+        if not isinstance(node, dict):
+            return
+        place = node.get("locationId") or node.get("docId") or node.get("docLevelId")
+        if place:
+            ident = f"{key}:{place}".lower()
+            rows.append((ident, parent, depth, str(node.get("docType") or "other").lower(), node.get("title") or "", node.get("text") or ""))
+            parent, depth = ident, depth + 1
+        for child in ((node.get("documents") or {}).get("items")) or []:
+            visit(child, parent, depth)
+
+    visit(law.get("documents"), f"{key}:law", 1)
+    return rows
+
+
+def law_json(spark: SparkSession, path: str) -> DataFrame:
+    reachable(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select("path", "content")
+    return files.mapInPandas(lambda b: _files(b, law_tree, ["id", "parent", "depth", "type", "label", "text"]), "path string, id string, parent string, depth int, type string, label string, text string")
+
+
+def siblings(elements: DataFrame) -> DataFrame:
+    """law_xml rows with the identifiers before and after them in their file."""
+    w = Window.partitionBy("path").orderBy("n")
+    return elements.withColumn("previous", F.lag("identifier").over(w)).withColumn("next", F.lead("identifier").over(w))
