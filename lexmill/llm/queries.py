@@ -159,6 +159,19 @@ _WORD = "regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _SQUEEZED = "regexp_replace(lower({}), '[\\s_ ]+', '', 'g')"
 
 
+_P5 = """SELECT DISTINCT '{t}' AS table_name, least(x, y) AS id_a, greatest(x, y) AS id_b FROM (
+  SELECT a.id AS x, b.id AS y, list_cosine_similarity(a.e, b.e) AS c, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_similarity(a.e, b.e) DESC, b.id) AS place
+  FROM (SELECT id, any_value(embedding) AS e FROM {t} WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL)) = 64 AND len(list_filter(embedding, lambda v: v <> 0)) > 0 GROUP BY id) a
+  JOIN (SELECT id, any_value(embedding) AS e FROM {t} WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL)) = 64 AND len(list_filter(embedding, lambda v: v <> 0)) > 0 GROUP BY id) b ON a.id <> b.id)
+WHERE place <= 5 AND c >= 0.9"""
+_P9 = """
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM eval_items WHERE text IS NOT NULL),
+dw AS (SELECT doc_id, array_to_string(w[k:k + 9], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 8)) AS k FROM d)),
+iw AS (SELECT item_id, array_to_string(w[k:k + 9], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS k FROM i))
+SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (s)"""
+
+
 def oracle_sql() -> dict[str, str]:
     word = _WORD.format("keyword_text")
     tier, status = _SQUEEZED.format("confidence_tier"), _SQUEEZED.format("status")
@@ -170,6 +183,8 @@ def oracle_sql() -> dict[str, str]:
         "p2_scores": _P2 + "SELECT * FROM scores",
         "p2_approved": _P2
         + "SELECT v.field_of_law_keyword_id, v.doctrine_or_concept_keyword_id, coalesce(together, 0) AS together, lift FROM (SELECT DISTINCT field_of_law_keyword_id, doctrine_or_concept_keyword_id FROM keyword_validation WHERE field_of_law_keyword_id IS NOT NULL AND doctrine_or_concept_keyword_id IS NOT NULL) v LEFT JOIN scores USING (field_of_law_keyword_id, doctrine_or_concept_keyword_id)",
+        "p5_found": " UNION ALL ".join(_P5.format(t=t) for t in VECTORS),
+        "p9_found": _P9,
         "p6_found": f"""
 WITH w AS (SELECT id, min({word}) AS word FROM source_keywords WHERE id IS NOT NULL GROUP BY id),
 g AS (SELECT coalesce(a.word, '#' || s.old_doctrine_keyword_id) AS doctrine,
