@@ -40,7 +40,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_scores(spark: SparkSession, d: str) -> DataFrame:
-    return _scores(spark, d).selectExpr(*PAIR, "together", "n_left", "n_right", "round(lift, 6) AS lift", "round(conviction, 6) AS conviction")
+    return _scores(spark, d).selectExpr(*PAIR, "together", "n_left", "n_right", "floor(lift * 1e6 + 0.5) / 1e6 AS lift", "floor(conviction * 1e6 + 0.5) / 1e6 AS conviction")
 
 
 def p2_approved(spark: SparkSession, d: str) -> DataFrame:
@@ -152,8 +152,8 @@ p AS (SELECT a.keyword_id AS l, b.keyword_id AS r, count(*) AS together FROM k a
 s AS (SELECT p.l AS field_of_law_keyword_id, p.r AS doctrine_or_concept_keyword_id, p.together, x.n AS n_left, y.n AS n_right, total.n AS n
       FROM p JOIN c x ON x.keyword_id = p.l JOIN c y ON y.keyword_id = p.r CROSS JOIN total),
 scores AS (SELECT field_of_law_keyword_id, doctrine_or_concept_keyword_id, together, n_left, n_right,
-      round(together * n / CAST(n_left * n_right AS DOUBLE), 6) AS lift,
-      round(CASE WHEN together < n_left THEN (1 - n_right / CAST(n AS DOUBLE)) / (1 - together / CAST(n_left AS DOUBLE)) END, 6) AS conviction FROM s)
+      floor(together * n / CAST(n_left * n_right AS DOUBLE) * 1e6 + 0.5) / 1e6 AS lift,
+      floor(CASE WHEN together < n_left THEN (1 - n_right / CAST(n AS DOUBLE)) / (1 - together / CAST(n_left AS DOUBLE)) END * 1e6 + 0.5) / 1e6 AS conviction FROM s)
 """
 _WORD = "regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _SQUEEZED = "regexp_replace(lower({}), '[\\s_ ]+', '', 'g')"
