@@ -220,20 +220,20 @@ LEGAL_WORDS = r"\b(court|judge|opinion|ruling|case|law|legal|statute|defendant|p
 
 
 def quality_flags(text: Column) -> dict[str, Column]:
-    """Eight signs of readable text."""
+    """Eight signs of readable text; word borders are those of ASCII words."""
     n = F.length(text)
     words = F.filter(F.split(text, r"[ \t\r\n\f]+"), lambda w: F.length(w) > 2)
     count = F.size(words)
     density = count / F.greatest(n, F.lit(1)) * 1000
     mean = F.aggregate(words, F.lit(0), lambda a, w: a + F.length(w)) / F.greatest(count, F.lit(1))
     return {
-        "legal": F.lower(text).rlike(LEGAL_WORDS),
+        "legal": F.lower(text).rlike(LEGAL_WORDS.replace(r"\b(", "(?<![a-z0-9_])(").replace(r")\b", ")(?![a-z0-9_])")),
         "substantial": F.size(F.filter(F.split(text, "[.!?]+"), lambda s: F.length(F.trim(s)) > 20)) >= 5,
         "structured": F.size(F.filter(F.split(text, "\n"), lambda s: F.length(F.trim(s)) > 10)) >= 3,
         "dense": (density > 3) & (density < 8),
         "even": (mean > 3) & (mean < 12),
         "worded": F.length(F.regexp_replace(text, "[^0-9]", "")) <= n * 0.3,
-        "whole": F.size(F.regexp_extract_all(text, F.lit(r"(\b[a-zA-Z]{1,2}\b)"), 1)) <= count * 0.4,
+        "whole": F.size(F.regexp_extract_all(text, F.lit(r"((?<![A-Za-z0-9_])[a-zA-Z]{1,2}(?![A-Za-z0-9_]))"), 1)) <= count * 0.4,
         "varied": ~text.rlike(r"([a-zA-Z])\1{4,}"),
     }
 

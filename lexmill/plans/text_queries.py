@@ -207,7 +207,20 @@ _ADDRESS_SQL = "CASE " + " ".join(
     )
 ) + " END"
 
+_FLAGS = {
+    "legal": f"regexp_matches(lower(text), '{T.LEGAL_WORDS}')",
+    "substantial": "len(list_filter(regexp_split_to_array(text, '[.!?]+'), lambda s: length(trim(s)) > 20)) >= 5",
+    "structured": "len(list_filter(regexp_split_to_array(text, '\\n'), lambda s: length(trim(s)) > 10)) >= 3",
+    "dense": "len(w) / greatest(length(text), 1) * 1000 > 3 AND len(w) / greatest(length(text), 1) * 1000 < 8",
+    "even": "coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) / greatest(len(w), 1) > 3 AND coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) / greatest(len(w), 1) < 12",
+    "worded": "length(regexp_replace(text, '[^0-9]', '', 'g')) <= length(text) * 0.3::DOUBLE",
+    "whole": "len(regexp_extract_all(text, '\\b[a-zA-Z]{1,2}\\b')) <= len(w) * 0.4::DOUBLE",
+    # the SQL engine's patterns have no back-references: each letter five times
+    "varied": "NOT regexp_matches(text, '" + "|".join(c * 5 for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") + "')",
+}
+
 SQL = {
+    "text_quality_flags": f"WITH d AS (SELECT doc_id, text, {_WORDS} AS w FROM documents WHERE text IS NOT NULL), f AS (SELECT doc_id, {', '.join(f'({c}) AS {n}' for n, c in _FLAGS.items())} FROM d) SELECT *, {' + '.join(f'{n}::INT' for n in _FLAGS)} AS score FROM f",
     "curie_slug": f"SELECT id, {_SLUG.format('name')} AS slug FROM ({_C})",
     "curie_occurrence_suffix": f"""WITH b AS (SELECT id, regexp_extract(file_name, '^([a-z0-9]+)_', 1) || ':' || regexp_extract(file_name, '_([0-9]+)', 1) || ':' || first_page
   || CASE WHEN {_SLUG.format("regexp_replace(name_abbreviation, ' .*', '')")} = '' THEN '' ELSE ':' || {_SLUG.format("regexp_replace(name_abbreviation, ' .*', '')")} END AS base
