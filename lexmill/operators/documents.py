@@ -90,3 +90,33 @@ def volume_of(title: Column) -> Column:
 def fallback(*fields: Column) -> Column:
     """The first field that says something: null and blank ones do not."""
     return F.coalesce(*(F.when(F.trim(f) != "", f) for f in fields))
+
+
+# fixed values: what introduces a docket number, in order of preference
+DOCKETS = (r"(?i)\bindex no\.?\s*:?\s*([0-9][0-9A-Za-z/\-]*)", r"(?i)\b(?:appeal|case) no\.?\s*:?\s*([0-9][0-9A-Za-z/\-]*)", r"(?i)\bdocket no\.?\s*:?\s*([0-9][0-9A-Za-z/\-]*)", r"\b([0-9]{4}-[0-9]{3,6})\b")
+
+
+def docket_of(text: Column) -> Column:
+    """The docket number by the first pattern that fits, null if none does."""
+    return F.coalesce(*(F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in DOCKETS))
+
+
+def front_and_body(text: Column) -> Column:
+    """struct(title, body) of a text with form feeds: the first line that is no longer than 250, and what follows the first feed."""
+    lines = F.filter(F.transform(F.split(text, "[\r\n\f]+"), lambda s: F.trim(s)), lambda s: (s != "") & (F.length(s) <= 250))
+    at = F.instr(text, "\f")
+    return F.when(text.isNotNull(), F.struct(F.get(lines, 0).alias("title"), F.when(at > 0, F.substring(text, at + 1, F.length(text))).otherwise(text).alias("body")))
+
+
+def law_curies(code: Column, aliases: Column, kind: str, number: Column) -> Column:
+    """struct(primary, aliases) of a section's or article's identifiers under a law's code and its other names."""
+    place = F.concat(F.lit("" if kind == "section" else f"{kind}-"), F.lower(F.trim(number)))
+    made = lambda c: F.concat(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), F.lit(":"), place)
+    primary = made(code)
+    other = F.filter(F.array_distinct(F.transform(F.coalesce(aliases, F.array().cast("array<string>")), made)), lambda a: a != primary)
+    return F.when(F.trim(number) != "", F.struct(primary.alias("primary"), other.alias("aliases")))
+
+
+def captions(text: Column) -> Column:
+    """The captions of a run of them: a new one begins where a sentence end is followed by a name with its own 'v'."""
+    return F.filter(F.transform(F.split(text, r"(?<=[.;])\s+(?=[A-Z][^.;]{2,120}?\bv\.?\s)"), lambda c: F.trim(F.regexp_replace(c, r"[\s;]+$", ""))), lambda c: c.rlike(r"\bv\.?\s"))

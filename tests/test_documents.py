@@ -56,3 +56,22 @@ def test_law_tree(spark, tmp_path):
     (tmp_path / "b.json").write_text("{broken")
     got = [(r.id, r.parent, r.depth, r.type) for r in markup.law_json(spark, str(tmp_path)).orderBy("depth").collect()]
     assert got == [("law:pen:law", None, 0, "law"), ("law:pen:a1", "law:pen:law", 1, "article"), ("law:pen:1.05", "law:pen:a1", 2, "section")]
+
+
+def test_finders(spark):
+    df = spark.createDataFrame([("Title of it\nIndex No. 123/04 and Case No. 9\fThe body\nhere", ["Tax Law", "TAX"], " 12-A "), (None, None, "")], "t string, a array<string>, n string")
+    r = df.select(D.docket_of(F.col("t")).alias("d"), D.front_and_body(F.col("t")).alias("f"), D.law_curies(F.lit("tax"), F.col("a"), "section", F.col("n")).alias("c")).collect()
+    assert (r[0].d, r[0].f.title, r[0].f.body) == ("123/04", "Title of it", "The body\nhere")
+    assert (r[0].c.primary, r[0].c.aliases) == ("tax:12-a", ["tax-law:12-a"]) and r[1].d is None and r[1].f is None and r[1].c is None
+    c = spark.createDataFrame([("A v B, Respondent. C & D v E; Matter of X v Y.",)], "t string").select(D.captions(F.col("t")).alias("c")).first().c
+    assert c == ["A v B, Respondent.", "C & D v E", "Matter of X v Y."]
+
+
+def test_providers(spark):
+    from lexmill.functions import providers
+
+    rows = spark.createDataFrame([(1, "a b", None), (2, " ", None), (3, None, None), (4, "kept", [1.0])], "id int, t string, embedding array<float>")
+    got = {r.id: r.embedding for r in providers.with_embeddings(rows, "t", providers.hashed_embedding(8), batch=1).collect()}
+    assert len(got[1]) == 8 and got[2] is None and got[3] is None and got[4] == [1.0]
+    assert [r.answer for r in providers.with_answers(rows, "t", lambda ts: [t.upper() for t in ts]).orderBy("id").collect()] == ["A B", None, None, "KEPT"]
+    assert spark.createDataFrame([("ﬁ①",), (None,)], "t string").select(providers.unicode_folded(F.col("t")).alias("x")).collect()[0].x == "fi1"
