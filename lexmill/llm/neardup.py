@@ -6,10 +6,12 @@ some mask keeps none of them, so every pair within radius r collides in some tab
 
 * Texts: the sketch is of min-hashes over word shingles, in ``PARTS`` parts of 6 symbols with radius 2 each. The masks are
   the words of a [6, 3, 3] code: whichever 2 of the 6 differ, one of 7 masks keeps neither, and each keeps 3 symbols or
-  more, so that unlike texts seldom meet. A pair is missed only if more than 2 of 6 symbols differ in every part.
-  Shingles that come more than ``COMMON`` times a text are boilerplate and left out of the sketch, unless three quarters
-  of a text are such; a text's own copies must not make it boilerplate, so it is then sketched by all of its shingles.
-  The list of common shingles goes to all tasks; it holds at most (mean words a text) / COMMON values, however many texts.
+  more, so that unlike texts seldom meet. A pair is missed there only if more than 2 of 6 symbols differ in every part.
+  Shingles that come more than ``COMMON`` times a text are boilerplate. That sketch is of a text's other shingles; texts
+  of which ``WHOLE`` or more are boilerplate are also sketched by all of their shingles, so that hot families and copies
+  meet by their true similarity; and texts with both kinds have tables of one rare symbol and ``CROSSED`` common ones,
+  for pairs that share much boilerplate and too little of the rest. Candidates are verified
+  if the symbols of all their shingles agree often enough: of pairs at the limit one in some 10,000 is lost there.
 * Names: the sketch is of the letter counts of both parties' distinctive words, 52 symbols with radius 4: two slips.
 
 Candidates are verified exactly, texts by the Jaccard similarity of their shingle sets, names by the edit distances of
@@ -34,6 +36,9 @@ from ..plans.lineage import cut, sized
 PARTS = 10
 COMMON = 0.01
 LEAST_COMMON = 20
+WHOLE = 0.55
+CROSSED = 4
+DEVIATIONS = 3.7
 _CODE = np.array([[1, 0, 0, 0, 1, 1], [0, 1, 0, 1, 0, 1], [0, 0, 1, 1, 1, 0]])
 _MASKS = np.array([(np.array([v & 1, v >> 1 & 1, v >> 2]) @ _CODE) % 2 for v in range(1, 8)], dtype=bool)
 
@@ -104,7 +109,7 @@ def common_shingles(texts: DataFrame, n: int, share: float = COMMON) -> np.ndarr
 
 
 def _sketch_batches(batches: Iterator, n: int, least_words: int, common: np.ndarray, parts: int, seed: int = 11) -> Iterator:
-    """(id, class, symbols) of the texts of ``least_words`` words or more."""
+    """(id, class, symbols, whole, crossed, mark) of the texts of ``least_words`` words or more."""
     import pyarrow as pa
     import xxhash
 
@@ -122,26 +127,56 @@ def _sketch_batches(batches: Iterator, n: int, least_words: int, common: np.ndar
         lists = [lists[i] for i in kept]
         classes = np.array([xxhash.xxh3_64_intdigest(np.array(x, dtype=np.uint64).tobytes()) for x in lists], dtype=np.uint64)
         flat, owner = s.flat(lists)
-        if len(common):
-            rare = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] != flat
-            plenty = 4 * np.bincount(owner[rare], minlength=len(lists)) >= np.bincount(owner, minlength=len(lists))
-            use = rare | ~plenty[owner]
-            flat, owner = flat[use], owner[use]
-        starts = np.searchsorted(owner, np.arange(len(lists)))
-        mins = np.empty((len(lists), k * parts), dtype=np.uint64)
-        for j in range(k * parts):
-            h = flat * mult[j] + add[j]
-            h ^= h >> np.uint64(31)
-            mins[:, j] = np.minimum.reduceat(h, starts)
-        mins *= np.uint64(0xD6E8FEB86659FD93)
-        mins ^= mins >> np.uint64(32)
-        offsets = pa.array(np.arange(len(ids) + 1) * mins.shape[1], pa.int32())
+        hot = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat if len(common) else np.zeros(len(flat), dtype=bool)
+        every, held = np.bincount(owner, minlength=len(lists)), np.bincount(owner[hot], minlength=len(lists))
+        rare, shared = (_mins(flat[x], owner[x], len(lists), mult, add) for x in (~hot, hot))
+        whole = np.minimum(rare, shared)
+        own, both = (_mixed(x).astype(np.uint32).view(np.int32) for x in (np.where((held < every)[:, None], rare, whole), whole))
+        crossed = _crossed(_mixed(rare), _mixed(shared)).astype(np.uint32).view(np.int32)
+        some, hot_text = (held > 0) & (held < every), held >= WHOLE * every
+        marks = [x.tobytes() for x in both.astype(np.uint8)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(classes.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(mins.astype(np.uint32).view(np.int32).reshape(-1)))],
-            names=["id", "class", "symbols"],
+            [pa.array(ids, pa.int64()), pa.array(classes.view(np.int64)), _lists(own), _lists(both, hot_text), _lists(crossed, some), pa.array(marks, pa.binary())],
+            names=["id", "class", "symbols", "whole", "crossed", "mark"],
         )
 
 
+def _mins(flat: np.ndarray, owner: np.ndarray, n: int, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """The least hash of each text's shingles under each function; the greatest number where it has none."""
+    mins = np.full((n, len(mult)), np.iinfo(np.uint64).max)
+    if len(flat):
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        for j in range(len(mult)):
+            h = flat * mult[j] + add[j]
+            h ^= h >> np.uint64(31)
+            mins[owner[starts], j] = np.minimum.reduceat(h, starts)
+    return mins
+
+
+def _mixed(mins: np.ndarray) -> np.ndarray:
+    out = mins * np.uint64(0xD6E8FEB86659FD93)
+    return out ^ (out >> np.uint64(32))
+
+
+def _crossed(rare: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Each of a text's tables for rare and common shingles at once: one symbol of the rare ones and ``CROSSED`` of the common."""
+    k = shared.shape[1] // CROSSED
+    groups = np.concatenate([np.arange(k * CROSSED).reshape(k, CROSSED), np.arange(k * CROSSED).reshape(CROSSED, k).T])
+    out = rare[:, : len(groups)].copy()
+    for j in range(CROSSED):
+        out = _mixed(out ^ shared[:, groups[:, j]])
+    return out
+
+
+def _lists(rows: np.ndarray, kept: np.ndarray | None = None):
+    """An Arrow list a row; an empty one where it isn't kept."""
+    import pyarrow as pa
+
+    size = np.full(len(rows), rows.shape[1]) if kept is None else np.where(kept, rows.shape[1], 0)
+    values = rows if kept is None else rows[kept]
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(values.reshape(-1)))
+
+
 def table_keys(symbols: Column, parts: int) -> Column:
     """The bucket of a sketch in each table: the symbols that the table's mask keeps, and the table's number."""
     k = _MASKS.shape[1]
@@ -149,6 +184,11 @@ def table_keys(symbols: Column, parts: int) -> Column:
     return F.array(*(F.xxhash64(F.lit(i), *(symbols[p * k + int(j)] for j in np.flatnonzero(_MASKS[m]))) for i, (p, m) in enumerate(tables)))
 
 
+def crossed_keys(crossed: Column) -> Column:
+    """The bucket of a text in each table of rare and common shingles; none if it has only one kind."""
+    return F.transform(crossed, lambda x, i: F.xxhash64(F.lit("crossed"), i, x))
+
+
 def _set_batches(batches: Iterator, n: int) -> Iterator:
     """(class, shingles) for exact verification."""
     import pyarrow as pa
@@ -171,11 +211,13 @@ def similar_texts(
     spark = texts.sparkSession
     texts = texts.select(F.col("id").cast("long").alias("id"), "text").where("id is not null and text is not null")
     common = spark.sparkContext.broadcast(common_shingles(texts, shingle, share))
-    sketches = cut(texts.mapInArrow(lambda b: _sketch_batches(b, shingle, least_words, common.value, parts), "id long, class long, symbols array<int>"))
+    sketches = cut(texts.mapInArrow(lambda b: _sketch_batches(b, shingle, least_words, common.value, parts), "id long, class long, symbols array<int>, whole array<int>, crossed array<int>, mark binary"))
     members = sketches.select("class", "id").distinct()
     # one row a class in every table, however many copies it has
-    classes = sketches.groupBy("class").agg(F.min("id").alias("id"), F.any_value("symbols").alias("symbols"))
-    rows = classes.select("class", F.explode(table_keys(F.col("symbols"), parts)).alias("key"))
+    classes = sketches.groupBy("class").agg(F.min("id").alias("id"), *(F.any_value(c).alias(c) for c in ("symbols", "whole", "crossed")))
+    whole = F.when(F.size("whole") > 0, table_keys(F.col("whole"), parts)).otherwise(F.array().cast("array<bigint>"))
+    keys = F.concat(table_keys(F.col("symbols"), parts), whole, crossed_keys(F.col("crossed")))
+    rows = classes.select("class", F.explode(F.array_distinct(keys)).alias("key"))
     pairs = (
         rows.withColumnRenamed("class", "class_a")
         .join(rows.withColumnRenamed("class", "class_b"), "key")
@@ -183,7 +225,7 @@ def similar_texts(
         .select("class_a", "class_b")
         .distinct()
     )
-    pairs = cut(pairs)
+    pairs = cut(_alike(pairs, sketches.groupBy("class").agg(F.any_value("mark").alias("mark")), len(_MASKS[0]) * parts, similarity))
     asked = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct().join(sketches.groupBy("class").agg(F.min("id").alias("id")), "class")
     held = texts.join(sized(asked), "id").select("class", "text").dropDuplicates(["class"])
     sets = cut(held.mapInArrow(lambda b: _set_batches(b, shingle), "class long, shingles array<long>"))
@@ -196,6 +238,24 @@ def similar_texts(
     return members, links
 
 
+def _agreeing(batches: Iterator, least: float) -> Iterator:
+    """The pairs of (class_a, class_b, mark_a, mark_b) whose marks agree in ``least`` places or more."""
+    import pyarrow as pa
+
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
+        ok = pa.array((a == b).sum(1) >= least) if batch.num_rows else pa.array([], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(ok) for i in (0, 1)], names=["class_a", "class_b"])
+
+
+def _alike(pairs: DataFrame, marks: DataFrame, k: int, similarity: float) -> DataFrame:
+    """The pairs whose ``k`` symbols of all shingles agree as those of a pair of ``similarity`` do, less ``DEVIATIONS``."""
+    least = k * similarity - DEVIATIONS * (k * similarity * (1 - similarity)) ** 0.5
+    for x in "ab":
+        pairs = pairs.join(marks.select(F.col("class").alias(f"class_{x}"), F.col("mark").alias(f"mark_{x}")), f"class_{x}")
+    return pairs.select("class_a", "class_b", "mark_a", "mark_b").mapInArrow(lambda b: _agreeing(b, least), "class_a long, class_b long")
+
+
 def member_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     """(id_a, id_b), id_a < id_b: the pairs within a class and those of linked classes."""
     linked = links.select("class_a", "class_b")

@@ -63,6 +63,33 @@ def test_hot_copies_are_one_class(spark):
     assert got[0] == (100, 0) and got[1][0] == 1 and len(got) == 300
 
 
+@pytest.mark.parametrize(("hot", "own", "least"), [(140, 60, 0.95), (100, 100, 0.95)])
+def test_hot_family_with_own_rest(spark, hot, own, least):
+    """Pairs of a template and own endings; with fewer common shingles the endings are alike in part."""
+    head = " ".join(f"t{i}" for i in range(hot + 2))
+    rows = []
+    for i in range(30):
+        tail = " ".join(f"s{i // 2}y{j}" for j in range(50)) if hot == 100 else ""
+        rows.append((i, f"{head} {tail} " + " ".join(f"o{i}x{j}" for j in range(own - (50 if tail else 0))), "", 0, 0))
+    rest = [(1000 + i, " ".join(f"r{i}q{j}" for j in range(50)), "", 0, 0) for i in range(1000)]
+    sets = [shingles(t, 3) for _, t, *_ in rows]
+    want = {(a, b) for a, b in itertools.combinations(range(30), 2) if 2 * len(sets[a] & sets[b]) >= len(sets[a] | sets[b])}
+    got = pairs(spark, rows + rest, shingle=3, similarity=0.5, least_words=40)
+    assert got <= want and len(got) >= least * len(want) > 10
+
+
+def test_pair_astride_the_limit(spark):
+    """One text of just under three quarters of common shingles, the other just over it."""
+    head = [f"t{i}" for i in range(150)]
+    rows = []
+    for i in range(0, 40, 2):
+        tail = [f"o{i}x{j}" for j in range(52)]
+        rows += [(i, " ".join(head + tail), "", 0, 0), (i + 1, " ".join(head + tail[:46]), "", 0, 0)]
+    rows = rows + [(1000 + i, " ".join(f"r{i}q{j}" for j in range(50)), "", 0, 0) for i in range(1000)]
+    got = pairs(spark, rows, shingle=3, similarity=0.9, least_words=40)
+    assert got == {(i, i + 1) for i in range(0, 40, 2)}
+
+
 @pytest.mark.parametrize(
     ("a", "b", "same"),
     [
