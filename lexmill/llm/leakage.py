@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 10
-REPEATS = 6
-SAMPLED = 7
+REPEATS = 12
+SAMPLED = 5
+#: of the walk, for each word of a window
+STEPS = 3
 SCHEMA = "doc_id long, item_id int, edits int, n_windows int"
 
 
@@ -58,62 +60,81 @@ class ItemIndex:
         self.codes, self.owners = np.array(codes, dtype=np.int32).reshape(-1, window), np.array(owners, dtype=np.int64)
         rng = np.random.default_rng(seed)
         # one more symbol each for words outside the items and for the end of the window
-        self.bits = rng.integers(0, 2, size=(3 * window, len(self.vocab) + 2), dtype=np.int8)
-        self.samples = [np.sort(rng.choice(3 * window, size=sampled, replace=False)) for _ in range(repeats)]
+        # bits of its own for each repetition: where one walk parts two windows for good, the others needn't
+        self.bits = rng.integers(0, 2, size=(repeats, STEPS * window, len(self.vocab) + 2), dtype=np.int8)
+        self.samples = [np.sort(rng.choice(STEPS * window, size=sampled, replace=False)) for _ in range(repeats)]
         self.mix = rng.integers(1, 2**63, size=(repeats, sampled), dtype=np.int64) | 1
         flat = self.codes.reshape(-1)
-        keys = self.keys(flat, np.arange(len(self.codes)) * window)
+        keys = [self.keys(flat, np.arange(len(self.codes)) * window, r) for r in range(repeats)]
         self.order = [np.argsort(k, kind="stable") for k in keys]
         self.sorted = [k[o] for k, o in zip(keys, self.order, strict=True)]
 
-    def keys(self, words: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """The bucket of each window of ``words`` in each repetition."""
-        end, at = len(self.vocab) + 1, np.zeros(len(starts), dtype=np.int64)
-        needed = {int(j) for s in self.samples for j in s}
-        seen, outside = {}, len(self.vocab)
-        for j in range(3 * self.window):
-            over = at >= self.window
+    def keys(self, words: np.ndarray, starts: np.ndarray, repeat: int, length: int | None = None) -> np.ndarray:
+        """The bucket of each window of ``length`` of the ``words`` in a repetition."""
+        end, at, outside = len(self.vocab) + 1, np.zeros(len(starts), dtype=np.int64), len(self.vocab)
+        length, sample = length or self.window, self.samples[repeat].tolist()
+        h, k = np.zeros(len(starts), dtype=np.int64), 0
+        for j in range(sample[-1] + 1):
             sym = words[np.minimum(starts + at, len(words) - 1)] if len(words) else at
-            sym = np.where(over, end, np.where(sym < 0, outside, sym))
-            if j in needed:
-                seen[j] = sym.astype(np.int64)
-            at += self.bits[j][sym]
-        out = []
-        for sample, mix in zip(self.samples, self.mix, strict=True):
-            h = np.zeros(len(starts), dtype=np.int64)
-            for j, m in zip(sample, mix, strict=True):
-                h = (h ^ (seen[int(j)] + 1)) * m
+            sym = np.where(at >= length, end, np.where(sym < 0, outside, sym))
+            if j == sample[k]:
+                h = (h ^ (sym.astype(np.int64) + 1)) * self.mix[repeat, k]
                 h ^= h >> 29
-            out.append(h)
-        return out
+                k += 1
+            at += self.bits[repeat, j][sym]
+        return h
 
     def found(self, words: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, item, edits) of the windows of ``words`` (-1: in no item, -2: between documents) near an item's."""
+        """(start, item, edits) of the windows of ``words`` (-1: in no item, -2: between documents) near an item's.
+
+        A start counts once for an item's window.
+        """
         none = np.zeros(0, dtype=np.int64)
-        n = len(words) - self.window + 1
-        if n <= 0 or not len(self.codes):
-            return none, none, none
-        misses = np.concatenate([[0], np.cumsum(np.where(words == -2, self.window + 1, words < 0))])
-        starts = np.flatnonzero(misses[self.window :] - misses[: -self.window] <= edits)
-        if not len(starts):
+        if not len(self.codes):
             return none, none, none
-        pairs = []
-        for keys, order, held in zip(self.keys(words, starts), self.order, self.sorted, strict=True):
-            lo, hi = np.searchsorted(held, keys, "left"), np.searchsorted(held, keys, "right")
-            many = hi - lo
-            mine = np.repeat(np.arange(len(starts)), many)
-            theirs = order[np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)]
-            pairs.append(mine * len(self.codes) + theirs)
-        pairs = np.unique(np.concatenate(pairs))
-        mine, theirs = starts[pairs // len(self.codes)], pairs % len(self.codes)
-        spans = words[mine[:, None] + np.arange(self.window)]
-        apart = (spans != self.codes[theirs]).sum(1)
-        cost = np.where(apart == 0, 0, edits + 1)
+        places, costs = [none], [none]
+        misses = np.concatenate([[0], np.cumsum(np.where(words == -2, self.window + edits + 1, words < 0))])
+        for length in (self.window,):
+            if len(words) < length:
+                break
+            starts = np.flatnonzero(misses[length:] - misses[:-length] <= edits)
+            # windows that are alike meet in any repetition
+            pairs = [self._met(self.keys(words, starts, r, length), r) for r in range(len(self.samples) if edits else 1)]
+            pairs = np.unique(np.concatenate(pairs))
+            mine, theirs = starts[pairs // len(self.codes)], pairs % len(self.codes)
+            cost = self._cost(words[mine[:, None] + np.arange(length)], self.codes[theirs], edits)
+            places.append((mine * len(self.codes) + theirs)[cost <= edits])
+            costs.append(cost[cost <= edits])
+        place, at = np.unique(np.concatenate(places), return_inverse=True)
+        least = np.full(len(place), edits + 1)
+        np.minimum.at(least, at, np.concatenate(costs))
+        return place // len(self.codes), self.owners[place % len(self.codes)], least
+
+    def _met(self, keys: np.ndarray, repeat: int) -> np.ndarray:
+        """The pairs of a key's place and an item's window that share a bucket, as one number."""
+        order, held = self.order[repeat], self.sorted[repeat]
+        lo, hi = np.searchsorted(held, keys, "left"), np.searchsorted(held, keys, "right")
+        many = hi - lo
+        theirs = order[np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)]
+        return np.repeat(np.arange(len(keys)), many) * len(self.codes) + theirs
+
+    @staticmethod
+    def _cost(spans: np.ndarray, codes: np.ndarray, edits: int) -> np.ndarray:
+        """The edit distance of each two rows up to ``edits``, or more than that."""
+        n = min(spans.shape[1], codes.shape[1])
+        head = (np.cumprod(spans[:, :n] == codes[:, :n], axis=1)).sum(1)
+        tail = (np.cumprod(spans[:, ::-1][:, :n] == codes[:, ::-1][:, :n], axis=1)).sum(1)
+        apart = max(spans.shape[1], codes.shape[1]) - n
+        cost = np.full(len(spans), edits + 1)
+        if apart == 0:
+            cost[head == n] = 0
         if edits:
-            for i in np.flatnonzero(apart > 0):
-                cost[i] = 1 if apart[i] == 1 else edit_distance(spans[i].tolist(), self.codes[theirs[i]].tolist())
-        ok = cost <= edits
-        return mine[ok], self.owners[theirs[ok]], cost[ok]
+            # one edit leaves all the words but one before and after it
+            cost[(cost > 1) & (head + tail >= n - (apart == 0)) & (apart <= 1)] = 1
+        if edits > 1:
+            for i in np.flatnonzero(cost > 1):
+                cost[i] = edit_distance(spans[i].tolist(), codes[i].tolist())
+        return cost
 
 
 def leak_batches(batches: Iterator, index: ItemIndex, edits: int) -> Iterator:

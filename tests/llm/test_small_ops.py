@@ -145,6 +145,29 @@ def test_near_windows_are_found():
     assert hits >= 0.8 * len(items)
 
 
+def near_recall(kind):
+    """The least share found over the places of one edit in a ten-word passage, with ``kind`` of edit."""
+    import numpy as np
+
+    rng = random.Random(8)
+    words = [f"q{i}" for i in range(2000)]
+    items = [(i, " ".join(rng.choices(words, k=10))) for i in range(120)]
+    index, least = L.ItemIndex(items), 1.0
+    for at in range(1, 9):
+        hits = 0
+        for i, text in items:
+            w = text.split()
+            w[at : at + (kind != "inserted")] = [] if kind == "left out" else ["changed"]
+            codes = np.array([-2, *(index.vocab.get(x, -1) for x in w), -2])
+            hits += i in index.found(codes, 1)[1]
+        least = min(least, hits / len(items))
+    return least
+
+
+def test_replaced_words_are_found():
+    assert near_recall("replaced") >= 0.95
+
+
 def test_vectors(spark):
     import numpy as np
 
