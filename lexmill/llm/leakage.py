@@ -2,7 +2,8 @@
 
 Method: CGK random-walk embedding. A window of words is walked by random bits that depend on the step and the word, which
 maps edit distance to Hamming distance; repeated bit-sampling LSH over the embeddings of item-sized windows proposes
-pairs of a corpus window and an item window; each is then verified by exact edit distance in words.
+pairs of a corpus window, of as many words more or fewer as there may be edits, and an item window; each is then verified
+by exact edit distance in words.
 
 The items are a stated query set: they go to the tasks in blocks of ``block`` items, whatever their number, and are held
 against every window of every document. No document moves. A window is embedded only if so many of its words occur in
@@ -24,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 10
-REPEATS = 12
-SAMPLED = 5
+REPEATS = 14
+SAMPLED = 6
 #: of the walk, for each word of a window
-STEPS = 3
+STEPS = 2
+#: windows held against the items at once
+STARTS = 20_000
 SCHEMA = "doc_id long, item_id int, edits int, n_windows int"
 
 
@@ -87,24 +90,25 @@ class ItemIndex:
     def found(self, words: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, item, edits) of the windows of ``words`` (-1: in no item, -2: between documents) near an item's.
 
-        A start counts once for an item's window.
+        The windows are of ``edits`` words fewer to ``edits`` more; a start counts once for an item's window.
         """
         none = np.zeros(0, dtype=np.int64)
         if not len(self.codes):
             return none, none, none
         places, costs = [none], [none]
         misses = np.concatenate([[0], np.cumsum(np.where(words == -2, self.window + edits + 1, words < 0))])
-        for length in (self.window,):
+        for length in range(max(1, self.window - edits), self.window + edits + 1):
             if len(words) < length:
                 break
-            starts = np.flatnonzero(misses[length:] - misses[:-length] <= edits)
-            # windows that are alike meet in any repetition
-            pairs = [self._met(self.keys(words, starts, r, length), r) for r in range(len(self.samples) if edits else 1)]
-            pairs = np.unique(np.concatenate(pairs))
-            mine, theirs = starts[pairs // len(self.codes)], pairs % len(self.codes)
-            cost = self._cost(words[mine[:, None] + np.arange(length)], self.codes[theirs], edits)
-            places.append((mine * len(self.codes) + theirs)[cost <= edits])
-            costs.append(cost[cost <= edits])
+            whole = np.flatnonzero(misses[length:] - misses[:-length] <= edits)
+            for starts in np.split(whole, range(STARTS, len(whole), STARTS)):
+                # windows that are alike meet in any repetition
+                pairs = [self._met(self.keys(words, starts, r, length), r) for r in range(len(self.samples) if edits else 1)]
+                pairs = np.unique(np.concatenate(pairs))
+                mine, theirs = starts[pairs // len(self.codes)], pairs % len(self.codes)
+                cost = self._cost(words[mine[:, None] + np.arange(length)], self.codes[theirs], edits)
+                places.append((mine * len(self.codes) + theirs)[cost <= edits])
+                costs.append(cost[cost <= edits])
         place, at = np.unique(np.concatenate(places), return_inverse=True)
         least = np.full(len(place), edits + 1)
         np.minimum.at(least, at, np.concatenate(costs))
@@ -165,7 +169,7 @@ def leak_batches(batches: Iterator, index: ItemIndex, edits: int) -> Iterator:
 def leaks(documents: DataFrame, items: DataFrame, edits: int = 1, window: int = WINDOW, block: int = 20_000) -> DataFrame:
     """(doc_id, item_id, edits, n_windows): the documents that hold ``window`` words of an item with at most ``edits`` edits.
 
-    edits is the least distance of any of the pair's windows, n_windows the number of window pairs found.
+    edits is the least distance of any of the pair's windows, n_windows the number of window pairs found, by where they begin.
     """
     spark = documents.sparkSession
     held = items.select("item_id", "text").where("text is not null").distinct()

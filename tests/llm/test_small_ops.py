@@ -168,6 +168,11 @@ def test_replaced_words_are_found():
     assert near_recall("replaced") >= 0.95
 
 
+@pytest.mark.parametrize("kind", ["inserted", "left out"])
+def test_inserted_and_omitted_words_are_found(kind):
+    assert near_recall(kind) >= 0.95
+
+
 def test_vectors(spark):
     import numpy as np
 
