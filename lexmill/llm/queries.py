@@ -69,7 +69,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Only pairs of cosine 0.9 and more are asked for, so queries go no further than such a pair can reach."""
     out = None
     for name in VECTORS:
-        near = neighbours.nearest_vectors(table(spark, d, name), k=5, visits=3, reach=0.15, beam=20, degree=14, least=0.9)
+        near = neighbours.nearest_vectors(table(spark, d, name), k=5, visits=3, reach=0.15, beam=16, degree=12, shard=1250, least=0.9)
         rows = near.select(F.lit(name).alias("table_name"), F.least("id", "other").cast("int").alias("id_a"), F.greatest("id", "other").cast("int").alias("id_b"))
         out = rows if out is None else out.unionByName(rows)
     return out.distinct()
