@@ -4,14 +4,15 @@ Method: covering locality-sensitive hashing. Symbols of a sketch get binary code
 keeps the symbols whose code has an odd product with v. Over r + 1 code bits the masks cover: whichever r symbols differ,
 some mask keeps none of them, so every pair within radius r collides in some table.
 
-* Texts: the sketch is of min-hashes over word shingles, in ``PARTS`` parts of 6 symbols with radius 2 each. The masks are
+* Texts: the sketch is of min-hashes over word shingles, in parts of 6 symbols with radius 2 each. The masks are
   the words of a [6, 3, 3] code: whichever 2 of the 6 differ, one of 7 masks keeps neither, and each keeps 3 symbols or
   more, so that unlike texts seldom meet. A pair is missed there only if more than 2 of 6 symbols differ in every part.
-  Shingles that come more than ``COMMON`` times a text are boilerplate. That sketch is of a text's other shingles; texts
-  of which ``WHOLE`` or more are boilerplate are also sketched by all of their shingles, so that hot families and copies
-  meet by their true similarity; and texts with both kinds have tables of one rare symbol and ``CROSSED`` common ones,
-  for pairs that share much boilerplate and too little of the rest. Candidates are verified
-  if the symbols of all their shingles agree often enough: of pairs at the limit one in some 10,000 is lost there.
+  Shingles that come more than ``COMMON`` times a text, and ``LEAST_COMMON`` times at least, are boilerplate. Every text
+  has ``PARTS`` parts over its other shingles, and ``CROSSED`` tables of two symbols of those and two of the boilerplate,
+  for pairs that share more of one kind than of the other; a text of one kind only has all its symbols from that. Texts of
+  which ``WHOLE`` or more are boilerplate also have ``WHOLE_PARTS`` parts over all their shingles, so that hot families
+  meet by their true similarity. Candidates are verified if the symbols of all their shingles agree often enough: of
+  pairs at the limit one in some 10,000 is lost there.
 * Names: the sketch is of the letter counts of both parties' distinctive words, 52 symbols with radius 4: two slips.
 
 Candidates are verified exactly, texts by the Jaccard similarity of their shingle sets, names by the edit distances of
@@ -31,13 +32,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import cut, sized
+from ..plans.lineage import cut, salted_join, sized
 
-PARTS = 10
+PARTS = 4
+CROSSED = 48
+WHOLE_PARTS = 10
 COMMON = 0.01
 LEAST_COMMON = 20
 WHOLE = 0.55
-CROSSED = 4
 DEVIATIONS = 3.7
 _CODE = np.array([[1, 0, 0, 0, 1, 1], [0, 1, 0, 1, 0, 1], [0, 0, 1, 1, 1, 0]])
 _MASKS = np.array([(np.array([v & 1, v >> 1 & 1, v >> 2]) @ _CODE) % 2 for v in range(1, 8)], dtype=bool)
@@ -84,61 +86,116 @@ class Shingler:
         return h[whole], owner[:k][whole]
 
 
-def _common_batches(batches: Iterator, n: int, share: float) -> Iterator:
-    """(shingle, occurrences) of what is frequent in a batch, and (0, number of texts)."""
+#: texts in which shingles are counted at once
+BLOCK = 4096
+
+
+def _frequent_batches(batches: Iterator, n: int, share: float) -> Iterator:
+    """(shingle, occurrences) of what comes a quarter of ``share`` times a text in a block, and (0, number of texts)."""
     import pyarrow as pa
 
-    s = Shingler(n)
-    for batch in batches:
-        lists = [s.codes(t) for t in batch.column(0).to_pylist()]
+    def counted(lists: list[list[int]]):
         every, counts = np.unique(s.flat(lists)[0], return_counts=True)
-        kept = counts >= max(2, share * len(lists) / 4)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([[0], every[kept].view(np.int64)]), pa.int64()), pa.array(np.concatenate([[len(lists)], counts[kept]]), pa.int64())],
-            names=["shingle", "n"],
-        )
+        kept = counts >= share * len(lists) / 4
+        columns = np.concatenate([[0], every[kept].view(np.int64)]), np.concatenate([[len(lists)], counts[kept]])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["shingle", "n"])
+
+    s, held = Shingler(n), []
+    for batch in batches:
+        held += [s.codes(t) for t in batch.column(0).to_pylist()]
+        while len(held) >= BLOCK:
+            yield counted(held[:BLOCK])
+            held = held[BLOCK:]
+    if held:
+        yield counted(held)
+
+
+def _exact_batches(batches: Iterator, n: int, asked: np.ndarray) -> Iterator:
+    """(shingle, occurrences) of the asked shingles in this task."""
+    import pyarrow as pa
+
+    s, sums = Shingler(n), np.zeros(len(asked), dtype=np.int64)
+    for batch in batches:
+        flat, _ = s.flat([s.codes(t) for t in batch.column(0).to_pylist()])
+        at = np.minimum(np.searchsorted(asked, flat), len(asked) - 1)
+        sums += np.bincount(at[asked[at] == flat], minlength=len(asked))
+    yield pa.RecordBatch.from_arrays([pa.array(asked.view(np.int64)), pa.array(sums)], names=["shingle", "n"])
 
 
 def common_shingles(texts: DataFrame, n: int, share: float = COMMON) -> np.ndarray:
-    """The shingles that come more than ``share`` times a text, sorted. A batch reports only what is frequent in it."""
-    found = texts.select("text").mapInArrow(lambda b: _common_batches(b, n, share), "shingle long, n long")
-    sums = cut(found.groupBy("shingle").agg(F.sum("n").alias("n")))
+    """The shingles that come more than ``share`` times a text, sorted: counted exactly over all texts.
+
+    Blocks report what is frequent in them, which misses at most a quarter of ``share``; what that leaves possible, some
+    ten thousand shingles at most, is counted in full. So the result does not depend on how the texts are parted.
+    """
+    sums = cut(texts.select("text").mapInArrow(lambda b: _frequent_batches(b, n, share), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")))
     total = next((r.n for r in sums.where("shingle = 0").collect()), 0)
-    rows = sums.where((F.col("shingle") != 0) & (F.col("n") > max(LEAST_COMMON, share * total))).select("shingle").toPandas()
-    return np.sort(rows["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
+    least = max(LEAST_COMMON, share * total)
+    asked = sums.where((F.col("shingle") != 0) & (F.col("n") > least - share * total / 4)).select("shingle").toPandas()["shingle"]
+    asked = texts.sparkSession.sparkContext.broadcast(np.sort(asked.to_numpy(dtype=np.int64).view(np.uint64)))
+    if not len(asked.value):
+        return asked.value
+    exact = texts.select("text").mapInArrow(lambda b: _exact_batches(b, n, asked.value), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    return np.sort(exact.where(F.col("n") > least).select("shingle").toPandas()["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
 def _sketch_batches(batches: Iterator, n: int, least_words: int, common: np.ndarray, parts: int, seed: int = 11) -> Iterator:
-    """(id, class, symbols, whole, crossed, mark) of the texts of ``least_words`` words or more."""
+    """(id, class, symbols, crossed, whole, mark) of the texts of ``least_words`` words or more.
+
+    A copy of a text that came before in the task has its id and class only.
+    """
     import pyarrow as pa
-    import xxhash
 
     rng = np.random.default_rng(seed)
-    k = _MASKS.shape[1]
-    mult = rng.integers(1, 2**63, size=k * parts, dtype=np.uint64) | np.uint64(1)
-    add = rng.integers(0, 2**63, size=k * parts, dtype=np.uint64)
-    s = Shingler(n)
+    k = _MASKS.shape[1] * WHOLE_PARTS
+    mult = rng.integers(1, 2**63, size=k, dtype=np.uint64) | np.uint64(1)
+    add = rng.integers(0, 2**63, size=k, dtype=np.uint64)
+    s, met = Shingler(n), set()
     for batch in batches:
         lists = [s.codes(t) for t in batch.column(1).to_pylist()]
         kept = [i for i, x in enumerate(lists) if len(x) >= max(least_words, n)]
         if not kept:
             continue
-        ids = [batch.column(0)[i].as_py() for i in kept]
+        ids = np.array([batch.column(0)[i].as_py() for i in kept], dtype=np.int64)
         lists = [lists[i] for i in kept]
-        classes = np.array([xxhash.xxh3_64_intdigest(np.array(x, dtype=np.uint64).tobytes()) for x in lists], dtype=np.uint64)
-        flat, owner = s.flat(lists)
+        classes = np.array([class_of(x) for x in lists], dtype=np.uint64).view(np.int64)
+        first = np.zeros(len(ids), dtype=bool)
+        first[np.unique(classes, return_index=True)[1]] = True
+        first &= [c not in met for c in classes.tolist()]
+        if len(met) > 1_000_000:  # then some copies have their sketch again
+            met.clear()
+        met.update(classes[first].tolist())
+        fresh = [x for x, f in zip(lists, first.tolist(), strict=True) if f]
+        flat, owner = s.flat(fresh)
         hot = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat if len(common) else np.zeros(len(flat), dtype=bool)
-        every, held = np.bincount(owner, minlength=len(lists)), np.bincount(owner[hot], minlength=len(lists))
-        rare, shared = (_mins(flat[x], owner[x], len(lists), mult, add) for x in (~hot, hot))
+        every, held = np.bincount(owner, minlength=len(fresh)), np.bincount(owner[hot], minlength=len(fresh))
+        rare, shared = (_mins(flat[x], owner[x], len(fresh), mult, add) for x in (~hot, hot))
         whole = np.minimum(rare, shared)
-        own, both = (_mixed(x).astype(np.uint32).view(np.int32) for x in (np.where((held < every)[:, None], rare, whole), whole))
-        crossed = _crossed(_mixed(rare), _mixed(shared)).astype(np.uint32).view(np.int32)
-        some, hot_text = (held > 0) & (held < every), held >= WHOLE * every
-        marks = [x.tobytes() for x in both.astype(np.uint8)]
+        rare, shared = _mixed(np.where((held < every)[:, None], rare, whole)), _mixed(np.where((held > 0)[:, None], shared, whole))
+        both = _symbols(_mixed(whole))
+        marks = iter([x.tobytes() for x in both.astype(np.uint8)])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(classes.view(np.int64)), _lists(own), _lists(both, hot_text), _lists(crossed, some), pa.array(marks, pa.binary())],
-            names=["id", "class", "symbols", "whole", "crossed", "mark"],
-        )
+            [
+                pa.array(ids), pa.array(classes), _lists(_symbols(rare)[:, : _MASKS.shape[1] * parts], first), _lists(_symbols(_crossed(rare, shared)), first),
+                _lists(both, first, held >= WHOLE * every), pa.array([next(marks) if f else None for f in first.tolist()], pa.binary()),
+            ],
+            names=["id", "class", "symbols", "crossed", "whole", "mark"],
+        )
+
+
+def _symbols(hashes: np.ndarray) -> np.ndarray:
+    return hashes.astype(np.uint32).view(np.int32)
+
+
+def _crossed(rare: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """``CROSSED`` tables of two rare symbols and two common ones, no two tables with the same four."""
+    k = rare.shape[1]
+    order = np.concatenate([np.arange(k), np.arange(k).reshape(6, -1).T.reshape(-1)]).reshape(-1, 2)[:CROSSED]
+    with_ = np.concatenate([np.arange(k).reshape(-1, 2), (np.arange(k) + k // 2).reshape(-1, 2) % k])[:CROSSED]
+    out = _mixed(rare[:, order[:, 0]] ^ (rare[:, order[:, 1]] * np.uint64(0x9E3779B97F4A7C15)))
+    for j in range(2):
+        out = _mixed(out ^ shared[:, with_[:, j]])
+    return out
 
 
 def _mins(flat: np.ndarray, owner: np.ndarray, n: int, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
@@ -158,47 +215,50 @@ def _mixed(mins: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
-def _crossed(rare: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """Each of a text's tables for rare and common shingles at once: one symbol of the rare ones and ``CROSSED`` of the common."""
-    k = shared.shape[1] // CROSSED
-    groups = np.concatenate([np.arange(k * CROSSED).reshape(k, CROSSED), np.arange(k * CROSSED).reshape(CROSSED, k).T])
-    out = rare[:, : len(groups)].copy()
-    for j in range(CROSSED):
-        out = _mixed(out ^ shared[:, groups[:, j]])
-    return out
-
-
-def _lists(rows: np.ndarray, kept: np.ndarray | None = None):
-    """An Arrow list a row; an empty one where it isn't kept."""
+def _lists(rows: np.ndarray, first: np.ndarray, kept: np.ndarray | None = None):
+    """An Arrow list for each place of ``first``: the next row, if it is kept; an empty one where there is none."""
     import pyarrow as pa
 
-    size = np.full(len(rows), rows.shape[1]) if kept is None else np.where(kept, rows.shape[1], 0)
+    some = np.zeros(len(first), dtype=bool)
+    some[np.flatnonzero(first)] = True if kept is None else kept
     values = rows if kept is None else rows[kept]
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(values.reshape(-1)))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(some, rows.shape[1], 0))]), pa.int32()), pa.array(values.reshape(-1)))
 
 
-def table_keys(symbols: Column, parts: int) -> Column:
+def table_keys(symbols: Column, parts: int) -> list[Column]:
     """The bucket of a sketch in each table: the symbols that the table's mask keeps, and the table's number."""
     k = _MASKS.shape[1]
     tables = [(p, m) for p in range(parts) for m in range(len(_MASKS))]
-    return F.array(*(F.xxhash64(F.lit(i), *(symbols[p * k + int(j)] for j in np.flatnonzero(_MASKS[m]))) for i, (p, m) in enumerate(tables)))
+    return [F.xxhash64(F.lit(i), *(symbols[p * k + int(j)] for j in np.flatnonzero(_MASKS[m]))) for i, (p, m) in enumerate(tables)]
+
 
+def bucket_keys(parts: int) -> Column:
+    """The buckets of a text in all its tables; none for a copy of a text that came before in its task."""
+    none = F.array().cast("array<bigint>")
+    own = F.array(*table_keys(F.col("symbols"), parts), *(F.xxhash64(F.lit("crossed"), F.lit(i), F.col("crossed")[i]) for i in range(CROSSED)))
+    whole = F.array(*table_keys(F.col("whole"), WHOLE_PARTS))
+    return F.array_distinct(F.concat(F.when(F.size("symbols") > 0, own).otherwise(none), F.when(F.size("whole") > 0, whole).otherwise(none)))
 
-def crossed_keys(crossed: Column) -> Column:
-    """The bucket of a text in each table of rare and common shingles; none if it has only one kind."""
-    return F.transform(crossed, lambda x, i: F.xxhash64(F.lit("crossed"), i, x))
+
+def class_of(codes: list[int]) -> int:
+    """The class of the texts of these words."""
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(np.array(codes, dtype=np.uint64).tobytes())
 
 
 def _set_batches(batches: Iterator, n: int) -> Iterator:
-    """(class, shingles) for exact verification."""
+    """(text) -> (class, shingles) for exact verification."""
     import pyarrow as pa
 
     s = Shingler(n)
     for batch in batches:
-        sets = [np.unique(s.flat([s.codes(t)])[0]).view(np.int64) for t in batch.column(1).to_pylist()]
+        lists = [s.codes(t) for t in batch.column(0).to_pylist()]
+        sets = [np.unique(s.flat([x])[0]).view(np.int64) for x in lists]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
         values = np.concatenate(sets) if sets else np.zeros(0, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))], names=["class", "shingles"])
+        classes = np.array([class_of(x) for x in lists], dtype=np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(classes), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))], names=["class", "shingles"])
 
 
 def similar_texts(
@@ -211,13 +271,10 @@ def similar_texts(
     spark = texts.sparkSession
     texts = texts.select(F.col("id").cast("long").alias("id"), "text").where("id is not null and text is not null")
     common = spark.sparkContext.broadcast(common_shingles(texts, shingle, share))
-    sketches = cut(texts.mapInArrow(lambda b: _sketch_batches(b, shingle, least_words, common.value, parts), "id long, class long, symbols array<int>, whole array<int>, crossed array<int>, mark binary"))
+    sketches = cut(texts.mapInArrow(lambda b: _sketch_batches(b, shingle, least_words, common.value, parts), "id long, class long, symbols array<int>, crossed array<int>, whole array<int>, mark binary"))
     members = sketches.select("class", "id").distinct()
-    # one row a class in every table, however many copies it has
-    classes = sketches.groupBy("class").agg(F.min("id").alias("id"), *(F.any_value(c).alias(c) for c in ("symbols", "whole", "crossed")))
-    whole = F.when(F.size("whole") > 0, table_keys(F.col("whole"), parts)).otherwise(F.array().cast("array<bigint>"))
-    keys = F.concat(table_keys(F.col("symbols"), parts), whole, crossed_keys(F.col("crossed")))
-    rows = classes.select("class", F.explode(F.array_distinct(keys)).alias("key"))
+    # one row a class in every table: copies are dropped in their task, and again where the keys have come together
+    rows = sketches.select("class", F.explode(bucket_keys(parts)).alias("key")).repartition("key").distinct()
     pairs = (
         rows.withColumnRenamed("class", "class_a")
         .join(rows.withColumnRenamed("class", "class_b"), "key")
@@ -225,10 +282,11 @@ def similar_texts(
         .select("class_a", "class_b")
         .distinct()
     )
-    pairs = cut(_alike(pairs, sketches.groupBy("class").agg(F.any_value("mark").alias("mark")), len(_MASKS[0]) * parts, similarity))
+    pairs = cut(_alike(pairs, sketches.groupBy("class").agg(F.max("mark").alias("mark")), len(_MASKS[0]) * WHOLE_PARTS, similarity))
     asked = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct().join(sketches.groupBy("class").agg(F.min("id").alias("id")), "class")
-    held = texts.join(sized(asked), "id").select("class", "text").dropDuplicates(["class"])
-    sets = cut(held.mapInArrow(lambda b: _set_batches(b, shingle), "class long, shingles array<long>"))
+    # an id may have come with several texts: the class is that of the text itself
+    held = texts.join(sized(asked.select("id")), "id").select("text")
+    sets = cut(held.mapInArrow(lambda b: _set_batches(b, shingle), "class long, shingles array<long>").dropDuplicates(["class"]))
     both = pairs.join(sets.select(F.col("class").alias("class_a"), F.col("shingles").alias("a")), "class_a").join(
         sets.select(F.col("class").alias("class_b"), F.col("shingles").alias("b")), "class_b"
     )
@@ -263,7 +321,8 @@ def member_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     across = linked.join(a, "class_a").join(b, "class_b").select("a", "b")
     many = members.groupBy("class").count().where("count > 1").select("class")
     several = members.join(many, "class", "left_semi")
-    within = several.select("class", F.col("id").alias("a")).join(several.select("class", F.col("id").alias("b")), "class").where("a < b").select("a", "b")
+    # a class of many copies is split: each of its parts meets all of them
+    within = salted_join(several.select("class", F.col("id").alias("a")), several.select("class", F.col("id").alias("b")), ["class"], F.col("a")).where("a < b").select("a", "b")
     return across.unionByName(within).where("a <> b").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
 
 

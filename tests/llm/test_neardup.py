@@ -90,6 +90,23 @@ def test_pair_astride_the_limit(spark):
     assert got == {(i, i + 1) for i in range(0, 40, 2)}
 
 
+def test_common_shingles_are_exact(spark):
+    """However the texts are parted, the same shingles are common, and all that are."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["a b c d", "e f g", f"x{i} y{i}"]) for _ in range(6)) + (" r s t" if i % 60 == 0 else " u v w" if i % 150 == 0 else "")) for i in range(6000)]
+    every = [tuple(w[k : k + 3]) for _, t in rows for w in [t.split()] for k in range(len(w) - 2)]
+    want = sum(n > 60 for n in __import__("collections").Counter(every).values())
+    df = spark.createDataFrame(rows, "id long, text string")
+    one, many = (N.common_shingles(df.repartition(k), 3) for k in (1, 13))
+    assert len(one) == want > 10 and (one == many).all()
+
+
+def test_an_id_with_two_texts(spark):
+    a, b = " ".join(WORDS[:60]), " ".join(WORDS[200:260])
+    rows = [(1, a, "", 0, 0), (1, b, "", 0, 0), (2, a + " z", "", 0, 0), (3, b + " z", "", 0, 0)]
+    assert pairs(spark, rows, shingle=3, similarity=0.5, least_words=40) == {(1, 2), (1, 3)}
+
+
 @pytest.mark.parametrize(
     ("a", "b", "same"),
     [
