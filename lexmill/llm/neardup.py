@@ -140,7 +140,7 @@ def common_shingles(texts: DataFrame, n: int, share: float = COMMON) -> np.ndarr
 
 
 def _sketch_batches(batches: Iterator, n: int, least_words: int, common: np.ndarray, parts: int, seed: int = 11) -> Iterator:
-    """(id, class, symbols, crossed, whole, mark) of the texts of ``least_words`` words or more.
+    """(id, class, keys, mark) of the texts of ``least_words`` words or more: a key for each table, by its number.
 
     A copy of a text that came before in the task has its id and class only.
     """
@@ -148,8 +148,8 @@ def _sketch_batches(batches: Iterator, n: int, least_words: int, common: np.ndar
 
     rng = np.random.default_rng(seed)
     k = _MASKS.shape[1] * WHOLE_PARTS
-    mult = rng.integers(1, 2**63, size=k, dtype=np.uint64) | np.uint64(1)
-    add = rng.integers(0, 2**63, size=k, dtype=np.uint64)
+    mult = rng.integers(1, 2**32, size=k, dtype=np.uint32) | np.uint32(1)
+    add = rng.integers(0, 2**32, size=k, dtype=np.uint32)
     s, met = Shingler(n), set()
     for batch in batches:
         lists = [s.codes(t) for t in batch.column(1).to_pylist()]
@@ -162,82 +162,98 @@ def _sketch_batches(batches: Iterator, n: int, least_words: int, common: np.ndar
         first = np.zeros(len(ids), dtype=bool)
         first[np.unique(classes, return_index=True)[1]] = True
         first &= [c not in met for c in classes.tolist()]
-        if len(met) > 1_000_000:  # then some copies have their sketch again
+        if len(met) > 1_000_000:  # then some copies have their keys again
             met.clear()
         met.update(classes[first].tolist())
         fresh = [x for x, f in zip(lists, first.tolist(), strict=True) if f]
-        flat, owner = s.flat(fresh)
-        hot = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat if len(common) else np.zeros(len(flat), dtype=bool)
-        every, held = np.bincount(owner, minlength=len(fresh)), np.bincount(owner[hot], minlength=len(fresh))
-        rare, shared = (_mins(flat[x], owner[x], len(fresh), mult, add) for x in (~hot, hot))
-        whole = np.minimum(rare, shared)
-        rare, shared = _mixed(np.where((held < every)[:, None], rare, whole)), _mixed(np.where((held > 0)[:, None], shared, whole))
-        both = _symbols(_mixed(whole))
-        marks = iter([x.tobytes() for x in both.astype(np.uint8)])
+        blocks = [_sketched(s, fresh[i : i + 512], common, parts, mult, add) for i in range(0, len(fresh), 512)]
+        keys, marks = iter(x for b in blocks for x in b[0]), iter(x for b in blocks for x in b[1])
+        none = np.zeros(0, dtype=np.int32)
+        rows = [next(keys) if f else none for f in first.tolist()]
+        offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids), pa.array(classes), _lists(_symbols(rare)[:, : _MASKS.shape[1] * parts], first), _lists(_symbols(_crossed(rare, shared)), first),
-                _lists(both, first, held >= WHOLE * every), pa.array([next(marks) if f else None for f in first.tolist()], pa.binary()),
-            ],
-            names=["id", "class", "symbols", "crossed", "whole", "mark"],
-        )
-
-
-def _symbols(hashes: np.ndarray) -> np.ndarray:
-    return hashes.astype(np.uint32).view(np.int32)
-
-
-def _crossed(rare: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """``CROSSED`` tables of two rare symbols and two common ones, no two tables with the same four."""
-    k = rare.shape[1]
-    order = np.concatenate([np.arange(k), np.arange(k).reshape(6, -1).T.reshape(-1)]).reshape(-1, 2)[:CROSSED]
-    with_ = np.concatenate([np.arange(k).reshape(-1, 2), (np.arange(k) + k // 2).reshape(-1, 2) % k])[:CROSSED]
-    out = _mixed(rare[:, order[:, 0]] ^ (rare[:, order[:, 1]] * np.uint64(0x9E3779B97F4A7C15)))
-    for j in range(2):
-        out = _mixed(out ^ shared[:, with_[:, j]])
-    return out
+            [pa.array(ids), pa.array(classes), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(rows))), pa.array([next(marks) if f else None for f in first.tolist()], pa.binary())],
+            names=["id", "class", "keys", "mark"],
+        )
+
+
+def _sketched(s: Shingler, lists: list[list[int]], common: np.ndarray, parts: int, mult: np.ndarray, add: np.ndarray) -> tuple[list[np.ndarray], list[bytes]]:
+    """The keys and the mark of each text."""
+    flat, owner = s.flat(lists)
+    hot = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat if len(common) else np.zeros(len(flat), dtype=bool)
+    every, held = np.bincount(owner, minlength=len(lists)), np.bincount(owner[hot], minlength=len(lists))
+    narrow = (flat >> np.uint64(32)).astype(np.uint32)
+    rare, shared = (_mins(narrow[x], owner[x], len(lists), mult, add) for x in (~hot, hot))
+    whole = np.minimum(rare, shared)
+    rare, shared = np.where((held < every)[:, None], rare, whole), np.where((held > 0)[:, None], shared, whole)
+    rare, shared, whole = (_mixed(x.astype(np.uint64)) for x in (rare, shared, whole))
+    own = np.concatenate([_masked(rare, parts), _crossed(rare, shared)], axis=1)
+    both = _masked(whole, WHOLE_PARTS)
+    keys = [np.concatenate([a, b]) if h else a for a, b, h in zip(own, both, (held >= WHOLE * every).tolist(), strict=True)]
+    return keys, [x.tobytes() for x in whole.astype(np.uint8)]
 
 
 def _mins(flat: np.ndarray, owner: np.ndarray, n: int, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
     """The least hash of each text's shingles under each function; the greatest number where it has none."""
-    mins = np.full((n, len(mult)), np.iinfo(np.uint64).max)
+    mins = np.full((n, len(mult)), np.iinfo(np.uint32).max, dtype=np.uint32)
     if len(flat):
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        h, low = np.empty_like(flat), np.empty_like(flat)
         for j in range(len(mult)):
-            h = flat * mult[j] + add[j]
-            h ^= h >> np.uint64(31)
+            np.multiply(flat, mult[j], out=h)
+            h += add[j]
+            np.right_shift(h, 15, out=low)
+            h ^= low
             mins[owner[starts], j] = np.minimum.reduceat(h, starts)
     return mins
 
 
-def _mixed(mins: np.ndarray) -> np.ndarray:
-    out = mins * np.uint64(0xD6E8FEB86659FD93)
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    out = hashes * np.uint64(0xD6E8FEB86659FD93)
     return out ^ (out >> np.uint64(32))
 
 
-def _lists(rows: np.ndarray, first: np.ndarray, kept: np.ndarray | None = None):
-    """An Arrow list for each place of ``first``: the next row, if it is kept; an empty one where there is none."""
-    import pyarrow as pa
+def _masked(symbols: np.ndarray, parts: int) -> np.ndarray:
+    """The key of each table: the symbols that its mask keeps."""
+    k = _MASKS.shape[1]
+    out = np.zeros((len(symbols), parts * len(_MASKS)), dtype=np.uint64)
+    for t in range(parts * len(_MASKS)):
+        p, m = divmod(t, len(_MASKS))
+        for j in np.flatnonzero(_MASKS[m]):
+            out[:, t] = _mixed(out[:, t] ^ symbols[:, p * k + j])
+    return out.astype(np.uint32).view(np.int32)
+
+
+def _crossed(rare: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """``CROSSED`` tables of two rare symbols and two common ones, no two tables with the same four."""
+    k = rare.shape[1]
+    order = np.concatenate([np.arange(k), np.arange(k).reshape(6, -1).T.reshape(-1)]).reshape(-1, 2)[:CROSSED]
+    beside = np.concatenate([np.arange(k).reshape(-1, 2), (np.arange(k) + k // 2).reshape(-1, 2) % k])[:CROSSED]
+    out = _mixed(rare[:, order[:, 0]] ^ (rare[:, order[:, 1]] * np.uint64(0x9E3779B97F4A7C15)))
+    for j in range(2):
+        out = _mixed(out ^ shared[:, beside[:, j]])
+    return out.astype(np.uint32).view(np.int32)
 
-    some = np.zeros(len(first), dtype=bool)
-    some[np.flatnonzero(first)] = True if kept is None else kept
-    values = rows if kept is None else rows[kept]
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(some, rows.shape[1], 0))]), pa.int32()), pa.array(values.reshape(-1)))
 
+#: key rows that a task takes
+KEYS_A_TASK = 400_000
 
-def table_keys(symbols: Column, parts: int) -> list[Column]:
-    """The bucket of a sketch in each table: the symbols that the table's mask keeps, and the table's number."""
-    k = _MASKS.shape[1]
-    tables = [(p, m) for p in range(parts) for m in range(len(_MASKS))]
-    return [F.xxhash64(F.lit(i), *(symbols[p * k + int(j)] for j in np.flatnonzero(_MASKS[m]))) for i, (p, m) in enumerate(tables)]
 
+def meeting(rows: DataFrame, keys: Column, n_keys: int, tables: int = 2**15) -> DataFrame:
+    """rows(class, keys) -> (class_a, class_b): the classes that share a table's key, class_a < class_b, each pair once.
+    Keys are in the order of the ``tables``, again and again.
 
-def bucket_keys(parts: int) -> Column:
-    """The buckets of a text in all its tables; none for a copy of a text that came before in its task."""
-    none = F.array().cast("array<bigint>")
-    own = F.array(*table_keys(F.col("symbols"), parts), *(F.xxhash64(F.lit("crossed"), F.lit(i), F.col("crossed")[i]) for i in range(CROSSED)))
-    whole = F.array(*table_keys(F.col("whole"), WHOLE_PARTS))
-    return F.array_distinct(F.concat(F.when(F.size("symbols") > 0, own).otherwise(none), F.when(F.size("whole") > 0, whole).otherwise(none)))
+    A key is of 32 bits within its table, so of n classes some n / 2^32 meet one by chance in each table. Keys of one
+    class only, nearly all, are dropped before anything is paired or sorted; the rest are paired where they lie.
+    """
+    numbered = rows.select("class", F.posexplode(keys).alias("table", "k"))
+    met = numbered.select("class", (F.shiftleft(F.pmod("table", F.lit(tables)).cast("long"), 32) + F.pmod(F.col("k").cast("long"), F.lit(2**32))).alias("key"))
+    met = met.repartition(max(4, -(-n_keys // KEYS_A_TASK)), "key")
+    several = met.groupBy("key").agg(F.min("class").alias("class_a"), F.max("class").alias("class_b"), F.count(F.lit(1)).alias("n")).where("class_a < class_b")
+    two = several.where("n = 2").select("class_a", "class_b")
+    more = met.join(several.where("n > 2").select("key").hint("shuffle_hash"), "key", "left_semi").distinct()
+    pairs = more.withColumnRenamed("class", "class_a").join(more.withColumnRenamed("class", "class_b"), "key").where("class_a < class_b").select("class_a", "class_b")
+    return two.unionByName(pairs).distinct()
 
 
 def class_of(codes: list[int]) -> int:
@@ -271,22 +287,15 @@ def similar_texts(
     spark = texts.sparkSession
     texts = texts.select(F.col("id").cast("long").alias("id"), "text").where("id is not null and text is not null")
     common = spark.sparkContext.broadcast(common_shingles(texts, shingle, share))
-    sketches = cut(texts.mapInArrow(lambda b: _sketch_batches(b, shingle, least_words, common.value, parts), "id long, class long, symbols array<int>, crossed array<int>, whole array<int>, mark binary"))
+    sketches = cut(texts.mapInArrow(lambda b: _sketch_batches(b, shingle, least_words, common.value, parts), "id long, class long, keys array<int>, mark binary"))
     members = sketches.select("class", "id").distinct()
     # one row a class in every table: copies are dropped in their task, and again where the keys have come together
-    rows = sketches.select("class", F.explode(bucket_keys(parts)).alias("key")).repartition("key").distinct()
-    pairs = (
-        rows.withColumnRenamed("class", "class_a")
-        .join(rows.withColumnRenamed("class", "class_b"), "key")
-        .where("class_a < class_b")
-        .select("class_a", "class_b")
-        .distinct()
-    )
+    pairs = meeting(sketches, F.col("keys"), sketches.agg(F.sum(F.size("keys"))).first()[0] or 0)
     pairs = cut(_alike(pairs, sketches.groupBy("class").agg(F.max("mark").alias("mark")), len(_MASKS[0]) * WHOLE_PARTS, similarity))
     asked = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct().join(sketches.groupBy("class").agg(F.min("id").alias("id")), "class")
     # an id may have come with several texts: the class is that of the text itself
     held = texts.join(sized(asked.select("id")), "id").select("text")
-    sets = cut(held.mapInArrow(lambda b: _set_batches(b, shingle), "class long, shingles array<long>").dropDuplicates(["class"]))
+    sets = held.mapInArrow(lambda b: _set_batches(b, shingle), "class long, shingles array<long>").groupBy("class").agg(F.first("shingles").alias("shingles"))
     both = pairs.join(sets.select(F.col("class").alias("class_a"), F.col("shingles").alias("a")), "class_a").join(
         sets.select(F.col("class").alias("class_b"), F.col("shingles").alias("b")), "class_b"
     )
@@ -421,7 +430,6 @@ def _name_batches(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     weights = _name_masks()
-    salt = np.random.default_rng(6).integers(1, 2**63, size=weights.shape[1], dtype=np.uint64)
     for batch in batches:
         classes, sides = batch.column(0), [batch.column(j).to_pylist() for j in (1, 2)]
         v = np.zeros((2, len(classes), 52), dtype=np.uint64)
@@ -430,9 +438,9 @@ def _name_batches(batches: Iterator) -> Iterator:
                 for ch in word:
                     v[0, i, 26 * side + ord(ch) % 26] += np.uint64(1)
         v[1] = np.roll(v[0], 26, axis=1)
-        keys = (v @ weights + salt).transpose(1, 0, 2).reshape(len(classes), -1)
+        keys = (_mixed(v @ weights) >> np.uint64(16)).astype(np.uint32).view(np.int32).transpose(1, 0, 2).reshape(len(classes), -1)
         offsets = np.arange(len(classes) + 1) * keys.shape[1]
-        yield pa.RecordBatch.from_arrays([classes, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))], names=["class", "keys"])
+        yield pa.RecordBatch.from_arrays([classes, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.reshape(-1)))], names=["class", "keys"])
 
 
 def _party_batches(batches: Iterator) -> Iterator:
@@ -458,11 +466,10 @@ def similar_names(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = names.where("id is not null and name is not null").select(F.col("id").cast("long").alias("id"), said.alias("name"))
     rows = rows.select(F.xxhash64("name").alias("class"), "id", "name")
     spelt = cut(rows.select("class", "name").distinct().mapInArrow(_party_batches, "class long, name string, a string, b string"))
-    keyed = spelt.select("class", "a", "b").mapInArrow(_name_batches, "class long, keys array<long>").select("class", F.explode("keys").alias("key"))
-    pairs = (
-        keyed.withColumnRenamed("class", "class_a").join(keyed.withColumnRenamed("class", "class_b"), "key").where("class_a < class_b")
-        .select("class_a", "class_b").distinct()
-    )
+    keyed = spelt.select("class", "a", "b").mapInArrow(_name_batches, "class long, keys array<int>")
+    tables = 2 ** (RADIUS + 1) - 1
+    # both orders meet in the same table
+    pairs = meeting(keyed, F.col("keys"), 2 * tables * spelt.count(), tables)
     both = pairs.join(spelt.select(*(F.col(c).alias(f"{c}_a") for c in spelt.columns)), "class_a").join(
         spelt.select(*(F.col(c).alias(f"{c}_b") for c in spelt.columns)), "class_b"
     )
