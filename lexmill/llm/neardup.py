@@ -240,20 +240,29 @@ KEYS_A_TASK = 400_000
 
 
 def meeting(rows: DataFrame, keys: Column, n_keys: int, tables: int = 2**15) -> DataFrame:
-    """rows(class, keys) -> (class_a, class_b): the classes that share a table's key, class_a < class_b, each pair once.
-    Keys are in the order of the ``tables``, again and again.
+    """rows(class, keys), one a class -> (class_a, class_b): the classes that share a table's key, class_a < class_b, each pair once.
 
-    A key is of 32 bits within its table, so of n classes some n / 2^32 meet one by chance in each table. Keys of one
-    class only, nearly all, are dropped before anything is paired or sorted; the rest are paired where they lie.
+    Keys are in the order of the ``tables``, again and again. A key is of 32 bits within its table, so of n classes some
+    n / 2^32 meet one by chance in each table.
     """
     numbered = rows.select("class", F.posexplode(keys).alias("table", "k"))
-    met = numbered.select("class", (F.shiftleft(F.pmod("table", F.lit(tables)).cast("long"), 32) + F.pmod(F.col("k").cast("long"), F.lit(2**32))).alias("key"))
-    met = met.repartition(max(4, -(-n_keys // KEYS_A_TASK)), "key")
-    several = met.groupBy("key").agg(F.min("class").alias("class_a"), F.max("class").alias("class_b"), F.count(F.lit(1)).alias("n")).where("class_a < class_b")
-    two = several.where("n = 2").select("class_a", "class_b")
-    more = met.join(several.where("n > 2").select("key").hint("shuffle_hash"), "key", "left_semi").distinct()
-    pairs = more.withColumnRenamed("class", "class_a").join(more.withColumnRenamed("class", "class_b"), "key").where("class_a < class_b").select("class_a", "class_b")
-    return two.unionByName(pairs).distinct()
+    key = F.shiftleft(F.pmod("table", F.lit(tables)).cast("long"), 32) + F.pmod(F.col("k").cast("long"), F.lit(2**32))
+    met = numbered.select("class", key.alias("key")).repartition(max(4, -(-n_keys // KEYS_A_TASK)), "key")
+    pairs = met.withColumnRenamed("class", "class_a").join(met.withColumnRenamed("class", "class_b"), "key").where("class_a < class_b")
+    return pairs.select("class_a", "class_b").distinct()
+
+
+def one_a_class(rows: DataFrame) -> DataFrame:
+    """rows(class, keys ...) with keys for the first of a class in each task -> one row with keys for each class.
+
+    Only the classes met in several tasks are moved, so a class of very many copies costs as many rows as there are tasks.
+    """
+    rows = rows.where(F.size("keys") > 0).select("class", "keys")
+    several = cut(rows.groupBy("class").count().where("count > 1").select("class"))
+    if several.isEmpty():
+        return rows
+    several = sized(several)
+    return rows.join(several, "class", "left_anti").unionByName(rows.join(several, "class", "left_semi").groupBy("class").agg(F.first("keys").alias("keys")))
 
 
 def class_of(codes: list[int]) -> int:
@@ -290,7 +299,7 @@ def similar_texts(
     sketches = cut(texts.mapInArrow(lambda b: _sketch_batches(b, shingle, least_words, common.value, parts), "id long, class long, keys array<int>, mark binary"))
     members = sketches.select("class", "id").distinct()
     # one row a class in every table: copies are dropped in their task, and again where the keys have come together
-    pairs = meeting(sketches, F.col("keys"), sketches.agg(F.sum(F.size("keys"))).first()[0] or 0)
+    pairs = meeting(one_a_class(sketches), F.col("keys"), sketches.agg(F.sum(F.size("keys"))).first()[0] or 0)
     pairs = cut(_alike(pairs, sketches.groupBy("class").agg(F.max("mark").alias("mark")), len(_MASKS[0]) * WHOLE_PARTS, similarity))
     asked = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct().join(sketches.groupBy("class").agg(F.min("id").alias("id")), "class")
     # an id may have come with several texts: the class is that of the text itself
