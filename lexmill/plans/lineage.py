@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -10,12 +11,20 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; one of our own only where none is set, as in tests."""
+    """The shared folder of ``spark.checkpoint.dir``.
+
+    Where none is set, a session in one process gets a folder of its own, as in tests; on a cluster that is an error,
+    since no folder of one machine would outlive it.
+    """
+    context = spark.sparkContext._jsc.sc()
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and context.getCheckpointDir().isDefined():
+        return context.getCheckpointDir().get()
     if not conf:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        conf = held.get() if held.isDefined() else os.path.join(tempfile.gettempdir(), "lexmill-checkpoints")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        if not context.isLocal():
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        conf = os.path.join(tempfile.gettempdir(), "lexmill-checkpoints")
+    if not context.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(conf)
     return conf
 
@@ -26,6 +35,12 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the shuffle files that nothing refers to any more deleted now, not when the driver next happens to collect."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread, how: str = "inner", salts: int = 8) -> DataFrame:
     """Join where one key of ``big`` may hold a large share of its rows.
 
