@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import cut, salted_join, sized
+from ..plans.lineage import cut, let_go, salted_join, sized
 
 PARTS = 4
 CROSSED = 48
@@ -301,6 +301,7 @@ def similar_texts(
     # one row a class in every table: copies are dropped in their task, and again where the keys have come together
     pairs = meeting(one_a_class(sketches), F.col("keys"), sketches.agg(F.sum(F.size("keys"))).first()[0] or 0)
     pairs = cut(_alike(pairs, sketches.groupBy("class").agg(F.max("mark").alias("mark")), len(_MASKS[0]) * WHOLE_PARTS, similarity))
+    let_go(spark)  # of the keys, the bulk of what was moved
     asked = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct().join(sketches.groupBy("class").agg(F.min("id").alias("id")), "class")
     # an id may have come with several texts: the class is that of the text itself
     held = texts.join(sized(asked.select("id")), "id").select("text")
