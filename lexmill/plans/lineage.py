@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +38,10 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def let_go(spark: SparkSession) -> None:
     """Have the shuffle files that nothing refers to any more deleted now, not when the driver next happens to collect."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Python lets go of the JVM's objects in the background
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread, how: str = "inner", salts: int = 8) -> DataFrame:
