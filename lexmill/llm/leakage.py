@@ -8,8 +8,9 @@ by exact edit distance in words.
 The items are a stated query set: they go to the tasks in blocks of ``block`` items, whatever their number, and are held
 against every window of every document. No document moves. A window is embedded only if so many of its words occur in
 some item that the allowed edits could make up for the rest, which loses no pair. Windows that are alike have the same
-embedding under the same bits, so they are found with certainty; windows at edit distance 1 and more with the probability
-that the repetitions give.
+embedding under the same bits, so they are found with certainty. The number of repetitions is that which finds a window
+with its edits at the worst places with probability ``TARGET`` or more (``repeats_for``): each repetition draws bits and
+samples of its own, so their misses are independent.
 
 Defined cases: null and empty texts and items hold no passage; items and texts shorter than ``window`` words cannot leak;
 a repeated document counts once; very long texts are read in full.
@@ -17,6 +18,7 @@ a repeated document counts once; very long texts are read in full.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 10
-REPEATS = 14
+TARGET = 0.95
 SAMPLED = 6
 #: of the walk, for each word of a window
 STEPS = 2
@@ -49,10 +51,45 @@ def edit_distance(a, b) -> int:
     return row[-1]
 
 
+def _walked(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The embedding of a row of words in each trial: words are numbers from 0, the last one of ``bits`` stands for the end."""
+    trials, steps, symbols = bits.shape
+    at, out, rows = np.zeros(trials, dtype=np.int64), np.zeros((trials, steps), dtype=np.int64), np.arange(trials)
+    padded = np.r_[words, symbols - 1]
+    for j in range(steps):
+        out[:, j] = padded[np.minimum(at, len(words))]
+        at += bits[rows, j, out[:, j]]
+    return out
+
+
+@functools.cache
+def repeats_for(target: float, edits: int, window: int = WINDOW, sampled: int = SAMPLED, trials: int = 1500, places: int = 24) -> int:
+    """The repetitions that find a window with ``edits`` words replaced, inserted or left out with probability ``target``.
+
+    Each kind of edit is tried at its places, all of them for one edit and ``places`` drawn for more; the worst counts.
+    """
+    if not edits:
+        return 1
+    rng = np.random.default_rng(19)
+    steps, worst = STEPS * window, 1.0
+    for kind in ("replaced", "inserted", "left out"):
+        spots = [(i,) for i in range(window)] if edits == 1 else [tuple(sorted(rng.choice(window, edits, replace=False).tolist())) for _ in range(places)]
+        for spot in spots:
+            words = list(range(window))
+            for n, i in enumerate(reversed(spot)):
+                words[i : i + (kind != "inserted")] = [] if kind == "left out" else [window + n]
+            bits = rng.integers(0, 2, size=(trials, steps, window + edits + 1), dtype=np.int8)
+            same = _walked(np.arange(window), bits) == _walked(np.array(words), bits)
+            chosen = np.argsort(rng.random((trials, steps)), axis=1)[:, :sampled]
+            worst = min(worst, np.take_along_axis(same, chosen, 1).all(1).mean())
+    return int(np.ceil(np.log(1 - target) / np.log(1 - worst)))
+
+
 class ItemIndex:
     """The windows of a block of items under ``repeats`` bit samples of their embeddings."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, repeats: int = REPEATS, sampled: int = SAMPLED, seed: int = 7):
+    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, repeats: int | None = None, sampled: int = SAMPLED, seed: int = 7, target: float = TARGET, edits: int = 1):
+        repeats = repeats or repeats_for(target, edits, window, sampled)
         self.window, self.vocab = window, {}
         codes, owners = [], []
         for item_id, text in items:
@@ -166,7 +203,7 @@ def leak_batches(batches: Iterator, index: ItemIndex, edits: int) -> Iterator:
         )
 
 
-def leaks(documents: DataFrame, items: DataFrame, edits: int = 1, window: int = WINDOW, block: int = 20_000) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, edits: int = 1, window: int = WINDOW, block: int = 20_000, target: float = TARGET) -> DataFrame:
     """(doc_id, item_id, edits, n_windows): the documents that hold ``window`` words of an item with at most ``edits`` edits.
 
     edits is the least distance of any of the pair's windows, n_windows the number of window pairs found, by where they begin.
@@ -178,7 +215,7 @@ def leaks(documents: DataFrame, items: DataFrame, edits: int = 1, window: int =
     found = None
     for b in range(blocks):
         part = held.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b) if blocks > 1 else held
-        index = spark.sparkContext.broadcast(ItemIndex(sorted(map(tuple, part.collect())), window))
+        index = spark.sparkContext.broadcast(ItemIndex(sorted(map(tuple, part.collect())), window, target=target, edits=edits))
         rows = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches, index=index: leak_batches(batches, index.value, edits), SCHEMA)
         found = rows if found is None else found.unionByName(rows)
     return found.groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"), F.max("n_windows").alias("n_windows"))

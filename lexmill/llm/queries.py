@@ -118,7 +118,8 @@ def _leaks(spark: SparkSession, d: str, edits: int) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return _leaks(spark, d, 0).where("edits = 0").select("doc_id", "item_id")
+    """By the embedding, near windows too; then the exact edit distance leaves those of distance 0."""
+    return _leaks(spark, d, 1).where("edits = 0").select("doc_id", "item_id")
 
 
 def p9_near(spark: SparkSession, d: str) -> DataFrame:
@@ -164,6 +165,15 @@ _P5 = """SELECT DISTINCT '{t}' AS table_name, least(x, y) AS id_a, greatest(x, y
   FROM (SELECT id, any_value(embedding) AS e FROM {t} WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL)) = 64 AND len(list_filter(embedding, lambda v: v <> 0)) > 0 GROUP BY id) a
   JOIN (SELECT id, any_value(embedding) AS e FROM {t} WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL)) = 64 AND len(list_filter(embedding, lambda v: v <> 0)) > 0 GROUP BY id) b ON a.id <> b.id)
 WHERE place <= 5 AND c >= 0.9"""
+_P1_CLASSES = """
+WITH t AS (SELECT DISTINCT id, w FROM (SELECT id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM opinions WHERE NOT coalesce(is_valueless, false) AND text IS NOT NULL AND id IS NOT NULL) WHERE len(w) >= 5),
+k AS (SELECT w, row_number() OVER () AS c FROM (SELECT DISTINCT w FROM t)), m AS (SELECT DISTINCT c, id FROM t JOIN k USING (w)),
+s AS (SELECT DISTINCT c, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT c, w, unnest(range(1, len(w) - 3)) AS i FROM k)),
+n AS (SELECT c, count(*) AS n FROM s GROUP BY c),
+p AS (SELECT a.c AS x, b.c AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.c < b.c GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n u ON u.c = x JOIN n v ON v.c = y WHERE CAST(shared AS DOUBLE) / (u.n + v.n - shared) >= CAST(0.8 AS DOUBLE)),
+e AS (SELECT c, count(*) AS links FROM (SELECT x AS c FROM l UNION ALL SELECT y FROM l) GROUP BY c)
+SELECT m.id, (SELECT count(*) FROM m o WHERE o.c = m.c) AS copies, coalesce(e.links, 0) AS links FROM m LEFT JOIN e USING (c)"""
 _P9 = """
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
 i AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM eval_items WHERE text IS NOT NULL),
@@ -183,6 +193,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_scores": _P2 + "SELECT * FROM scores",
         "p2_approved": _P2
         + "SELECT v.field_of_law_keyword_id, v.doctrine_or_concept_keyword_id, coalesce(together, 0) AS together, lift FROM (SELECT DISTINCT field_of_law_keyword_id, doctrine_or_concept_keyword_id FROM keyword_validation WHERE field_of_law_keyword_id IS NOT NULL AND doctrine_or_concept_keyword_id IS NOT NULL) v LEFT JOIN scores USING (field_of_law_keyword_id, doctrine_or_concept_keyword_id)",
+        "p1_classes": _P1_CLASSES,
         "p5_found": " UNION ALL ".join(_P5.format(t=t) for t in VECTORS),
         "p9_found": _P9,
         "p6_found": f"""

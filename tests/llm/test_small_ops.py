@@ -173,6 +173,27 @@ def test_inserted_and_omitted_words_are_found(kind):
     assert near_recall(kind) >= 0.95
 
 
+@pytest.mark.parametrize("kinds", [("replaced", "replaced"), ("inserted", "left out"), ("inserted", "replaced"), ("left out", "left out")])
+def test_two_edits_are_found(kinds):
+    """Recall at two edits in a ten-word passage, at places drawn for each passage."""
+    import numpy as np
+
+    rng = random.Random(18)
+    items = [(i, " ".join(rng.choices([f"q{i}" for i in range(2000)], k=10))) for i in range(150)]
+    index, hits = L.ItemIndex(items, edits=2), 0
+    for i, text in items:
+        w = text.split()
+        for at, kind in zip(sorted(rng.sample(range(1, 9), 2), reverse=True), kinds, strict=True):
+            w[at : at + (kind != "inserted")] = [] if kind == "left out" else ["changed"]
+        codes = np.array([-2, *(index.vocab.get(x, -1) for x in w), -2])
+        hits += i in index.found(codes, 2)[1]
+    assert hits >= 0.93 * len(items)
+
+
+def test_repetitions_follow_the_target():
+    assert L.repeats_for(0.95, 0) == 1 < L.repeats_for(0.8, 1) < L.repeats_for(0.95, 1) < L.repeats_for(0.95, 2)
+
+
 def test_vectors(spark):
     import numpy as np
 
