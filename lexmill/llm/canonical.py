@@ -1,9 +1,12 @@
 """Problem 3: mapping freely typed values to a canonical list.
 
 Method: values are deduplicated and normalised, candidates are retrieved through an inverted index of character n-grams
-(one and two letters), scored by cosine under idf weights, and accepted above a threshold and with a margin over the next
-entry. A candidate above the cosine threshold is also measured by edit distance: swapped letters break more n-grams than
-they should, and a shared word of two titles too few. The margin is on the mean of both.
+(of two and three letters, whatever their order, since swapped letters are the commonest slip), scored by cosine under idf
+weights, and accepted above a threshold and with a margin over the next entry. An exact check of the edit distance to the
+entry's forms follows, for titles that share a whole word and nothing else.
+
+Only a value's rarest n-grams are looked up: those beyond which what is left could not reach the threshold (the cosine of
+a pair that shares none of them is at most the root of the rest of the value's weight).
 
 Normalising takes off what introduces a value ("see", "cited as", "["), repairs digits read for letters, reads the series
 ("2d", "Second Series", "third") into a column of its own and drops the generic words of a title ("Reports", "Rpts").
@@ -20,11 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.lineage import salted_join
+from ..plans.lineage import cut, salted_join
 
-THRESHOLD = 0.25
+THRESHOLD = 0.3
 LIKENESS = 0.48
 MARGIN = 0.02
+#: the weight of an n-gram of no form, as a share of that of the rarest
+UNSEEN = 0.5
 LEADS = r"^[\[\(\"' ]*((see also|see|cited as|cited in|quoted in|quoting|citing|cf\.?|accord|but see|in|the|from|at) +)*"
 SECOND = r"[\s,.\-(]*\b(second series|second|2nd series|2d series|2nd|2d|ii)\b[\s.,)]*$"
 THIRD = r"[\s,.\-(]*\b(third series|third|3rd series|3d series|3rd|3d|iii)\b[\s.,)]*$"
@@ -48,10 +53,14 @@ def normalised(value: Column) -> tuple[Column, Column]:
 
 
 def grams(word: Column) -> Column:
-    """The distinct letters of ``word`` and its pairs of letters between end marks."""
+    """The distinct pairs and triples of neighbouring letters of ``word`` between end marks, each in the alphabet's order."""
     w = F.concat(F.lit("^"), word, F.lit("$"))
-    pairs = F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2)))
-    return F.array_distinct(F.concat(pairs, F.split(word, "")))
+
+    def runs(n: int) -> Column:
+        starts = F.when(F.length(w) >= n, F.sequence(F.lit(1), F.length(w) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.array_sort(F.split(F.substring(w, i, F.lit(n)), "")), ""))
+
+    return F.array_distinct(F.concat(runs(2), runs(3)))
 
 
 def reference_forms(reporters: DataFrame) -> DataFrame:
@@ -67,41 +76,39 @@ def reference_forms(reporters: DataFrame) -> DataFrame:
 def resolve(values: DataFrame, forms: DataFrame, threshold: float = THRESHOLD, likeness: float = LIKENESS, margin: float = MARGIN) -> DataFrame:
     """values(base, series), distinct -> (base, series, entry, score): the entry meant, 0 if none is.
 
-    A form equal to the value scores 1. n-grams of no form count half as much as the rarest of a form.
+    score is the greatest cosine to a form of the entry; a form equal to the value scores 1.
     """
-    n_forms = forms.select("base").distinct().agg(F.count(F.lit(1)).alias("n_forms"))
-    ref = forms.withColumn("gram", F.explode(grams(F.col("base"))))
+    n_forms = F.broadcast(forms.select("base").distinct().agg(F.count(F.lit(1)).alias("n_forms")))
+    each = forms.withColumn("gram", F.explode(grams(F.col("base"))))
     weight = (
-        ref.select("base", "gram").distinct().groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n_forms))
+        each.select("base", "gram").distinct().groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(n_forms)
         .select("gram", F.pow(F.log((F.col("n_forms") + 1.0) / (F.col("df") + 0.5)), 2).alias("w2"))
     )
-    ref = ref.join(weight, "gram")
-    norm = ref.groupBy("entry", "base", "series").agg(F.sum("w2").alias("ref_norm"))
-    index = ref.join(norm, ["entry", "base", "series"]).select("gram", "series", "entry", F.col("base").alias("form"), "w2", "ref_norm")
-    unseen = F.pow(F.log((F.col("n_forms") + 1.0) / 0.5) / 2, 2)
-    asked = values.where("base <> ''").withColumn("gram", F.explode(grams(F.col("base"))))
-    own = (
-        asked.join(weight, "gram", "left").join(F.broadcast(n_forms))
-        .groupBy("base", "series").agg(F.sum(F.coalesce("w2", unseen)).alias("own_norm"))
-    )
+    index = each.join(weight, "gram").select("gram", "series", "entry", F.col("base").alias("form"), "w2")
+    ref = index.groupBy("entry", "form", "series").agg(F.collect_set("gram").alias("form_grams"), F.sum("w2").alias("ref_norm"))
+    unseen = F.pow(UNSEEN * F.log((F.col("n_forms") + 1.0) / 0.5), 2)
+    value = ["base", "series"]
+    asked = values.where("base <> ''").withColumn("gram", F.explode(grams(F.col("base")))).join(weight, "gram", "left").join(n_forms)
+    asked = asked.select(*value, "gram", F.coalesce("w2", unseen).alias("w2"))
+    own = asked.groupBy(*value).agg(F.map_from_entries(F.collect_list(F.struct("gram", "w2"))).alias("weights"), F.sum("w2").alias("own_norm"))
+    by_value = Window.partitionBy(*value)
+    left = F.sum("w2").over(by_value.orderBy("w2", "gram").rowsBetween(Window.unboundedPreceding, 0))
+    looked_up = asked.withColumn("left", left).withColumn("own_norm", F.sum("w2").over(by_value)).where(F.col("left") >= threshold**2 * F.col("own_norm"))
+    met = looked_up.select("gram", *value).join(index.select("gram", "series", "entry", "form"), ["gram", "series"]).select(*value, "entry", "form").distinct()
+    dot = F.aggregate(F.array_intersect(F.map_keys("weights"), "form_grams"), F.lit(0.0), lambda total, g: total + F.col("weights")[g])
     scored = (
-        asked.join(index, ["gram", "series"])
-        .groupBy("base", "series", "entry", "form").agg(F.sum("w2").alias("dot"), F.first("ref_norm").alias("ref_norm"))
-        .join(own, ["base", "series"])
-        .withColumn("cosine", F.when(F.col("base") == F.col("form"), 1.0).otherwise(F.col("dot") / F.sqrt(F.col("ref_norm") * F.col("own_norm"))))
+        met.join(own, value).join(ref, ["entry", "form", "series"])
+        .withColumn("cosine", F.when(F.col("base") == F.col("form"), 1.0).otherwise(dot / F.sqrt(F.col("ref_norm") * F.col("own_norm"))))
         .where(F.col("cosine") >= threshold)
         .withColumn("alike", 1 - F.levenshtein("base", "form") / F.greatest(F.length("base"), F.length("form")))
-        .groupBy("base", "series", "entry").agg(F.max(F.struct(((F.col("cosine") + F.col("alike")) / 2).alias("score"), "alike")).alias("m"))
-        .select("base", "series", "entry", "m.*")
+        .groupBy(*value, "entry").agg(F.max("cosine").alias("score"), F.max("alike").alias("alike"))
     )
-    rank = Window.partitionBy("base", "series").orderBy(F.desc("score"), "entry")
+    rank = by_value.orderBy(F.desc("score"), "entry")
     best = (
         scored.withColumn("next", F.lead("score").over(rank)).withColumn("place", F.row_number().over(rank)).where("place = 1")
-        .where((F.col("alike") >= likeness) & (F.col("score") - F.coalesce("next", F.lit(0.0)) >= margin))
+        .where((F.col("score") - F.coalesce("next", F.lit(0.0)) >= margin) & (F.col("alike") >= likeness))
     )
-    return values.join(best.select("base", "series", "entry", "score"), ["base", "series"], "left").select(
-        "base", "series", F.coalesce("entry", F.lit(0)).alias("entry"), "score"
-    )
+    return values.join(best.select(*value, "entry", "score"), value, "left").select(*value, F.coalesce("entry", F.lit(0)).alias("entry"), "score")
 
 
 def resolved_rows(rows: DataFrame, reporters: DataFrame) -> DataFrame:
@@ -112,7 +119,7 @@ def resolved_rows(rows: DataFrame, reporters: DataFrame) -> DataFrame:
     free = rows.where("value is not null and trim(value) <> ''").join(listed, "value", "left_anti")
     base, series = normalised(F.col("value"))
     # a file of many rows holds few values: they are deduplicated before and after they are normalised
-    spelt = free.select("value").distinct().select("value", base.alias("base"), series.alias("series"))
+    spelt = cut(free.select("value").distinct().select("value", base.alias("base"), series.alias("series")))
     found = resolve(spelt.select("base", "series").distinct(), reference_forms(reporters))
     by_value = spelt.join(found, ["base", "series"]).select("value", F.col("entry").alias("reporter_id"), "score")
     return salted_join(free, by_value, ["value"], F.col("row_id"))
