@@ -1,16 +1,21 @@
 """Problem 10: the subject areas of each document.
 
 Method: classifier chains over term, source and structure features. Each chain decides the subjects in the order of
-their share of the document; a decision sees those before it through how often the subjects occur together. The chain's
-probabilities are calibrated on held-out documents, and beam search finds the likeliest combination of one or two labels.
+their share of the document, each by a classifier of its own; a decision sees those before it, which they are and how often
+the subjects occur together. The chain's probabilities are calibrated on held-out documents, and beam search finds the
+likeliest combination of one or two labels.
 
 Terms: words and pairs of neighbouring words get log-odds for each subject, learned from the labelled documents by a few
 rounds of expectation-maximisation over their sentences, since a label names the document and not the sentence. A
 sentence goes to its likeliest subject, and the shares of the sentences and words of each subject are the features of the
-chain, with the number of sentences, the source's family, the document's kind and its language.
+chain, with the number of sentences, the source's family, the document's kind and its language. Which families, kinds and
+languages there are, and what words tell the languages, is learned from the labelled documents too.
 
-The model is fitted on at most ``MOST_LABELLED`` labelled documents of at most ``MOST_CHARS`` characters, chosen by hash of doc_id; everything else covers all
-documents, and whole texts. The model goes to the tasks as one broadcast: it holds at most ``MOST_TERMS`` terms.
+The classifiers of the chain's links are drawn to one that is fitted on all links, the more so the fewer the cases.
+
+The model is fitted on a sample of the labelled documents: in the order of the hash of doc_id, at most ``MOST_LABELLED`` and
+as many as have ``MOST_CHARS`` characters together, whole texts each; everything else covers all documents. The model goes
+to the tasks as one broadcast, and the sample bounds it: a term of it stands in two of the sample's documents or more.
 
 Defined cases: null, empty and blank texts have no subject; any other text has one or two; labels of unknown documents,
 null labels and repeated labels are ignored; without labels nothing can be learned, and no subject is given.
@@ -19,6 +24,7 @@ null labels and repeated labels are ignored; without labels nothing can be learn
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MOST_LABELLED = 6_000
-MOST_CHARS = 100_000
-MOST_TERMS = 200_000
+#: of the sample together
+MOST_CHARS = 40_000_000
+#: a family, kind or language has this share of the labelled documents; the others are one
+LEVEL = 0.01
+#: the commonest words, among which those are that tell a language
+COMMON = 400
+MARKS = 8
+#: how strongly a link's classifier is drawn to that of all links
+TIED = 20.0
 BEAM = 8
 MOST_LABELS = 2
 SCHEMA = "doc_id long, subject string, share double, probability double"
@@ -46,10 +59,6 @@ def tokens_of(text: str) -> list[str]:
     return _TOKEN.findall(text)
 
 
-#: a few function words of each language, which tell the language of a labelled text
-TONGUES = {"en": ("the", "of", "that", "and"), "fr": ("le", "les", "du", "pas"), "de": ("der", "die", "das", "nicht"), "es": ("el", "los", "las", "no")}
-
-
 class Sentences:
     """Word numbers of many texts in one array, cut into sentences and documents."""
 
@@ -77,6 +86,19 @@ class Sentences:
         return at, a[at] * size + b[at]
 
 
+def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float) -> np.ndarray:
+    """Weights of a logistic classifier drawn to those of ``prior``."""
+    w = prior.copy()
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = x.T @ (p - y) + strength * (w - prior)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + strength * np.eye(len(w)), grad)
+        w -= step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
 class SubjectModel:
     """Term log-odds by subject, and the chain that decides from the shares."""
 
@@ -85,13 +107,40 @@ class SubjectModel:
         self.vocab: dict[str, int] = {}
         self.pair_keys = np.zeros(0, dtype=np.int64)
         self.weights = np.zeros((0, len(names)), dtype=np.float32)  # of the words, then of the pairs
-        self.chain, self.joint, self.heat = np.zeros(0), np.zeros((len(names), len(names))), 1.0
+        self.chain, self.joint, self.heat = np.zeros((0, 0)), np.zeros((len(names), len(names))), 1.0  # a row of the chain for each subject's link
+        self.levels: tuple = ((), (), ())
         self.memo: dict = {}
         self.clear = 2.0  # what a sentence's terms must add up to
 
     # terms
-    def gather(self, texts: list[str], labels: list[set[int]]) -> None:
+    def languages(self, of_doc: np.ndarray, of_word: np.ndarray, n_docs: int, df: np.ndarray, given: list[str]) -> np.ndarray:
+        """The language of each labelled text, by its common words; what is given may be wrong or missing."""
+        names = self.levels[2]
+        if len(names) < 2:
+            return np.zeros(n_docs, dtype=int)
+        common = np.argsort(-df, kind="stable")[:COMMON]
+        place = np.full(len(df), -1)
+        place[common] = np.arange(len(common))
+        ok = place[of_word] >= 0
+        held = np.zeros((n_docs, len(common)))
+        held[of_doc[ok], place[of_word[ok]]] = 1
+        at = np.array([names.index(x) if x in names else -1 for x in given])
+        usual = Counter(x for x in at.tolist() if x >= 0).most_common(1)[0][0]
+        for _ in range(2):  # learned from what is given, then from what was found
+            rate = np.stack([(held[at == t].sum(0) + 0.5) / ((at == t).sum() + 1) for t in range(len(names))])
+            share = np.zeros((n_docs, len(names)))
+            for t in range(len(names)):
+                # words of this language and of no other
+                lead = rate[t] - np.delete(rate, t, axis=0).max(0)
+                marks = np.argsort(-lead, kind="stable")[:MARKS]
+                marks = marks[lead[marks] > 0.2]
+                share[:, t] = held[:, marks].mean(1) if len(marks) else 0
+            at = np.where(share.any(1), share.argmax(1), np.where(at < 0, usual, at))
+        return at
+
+    def gather(self, texts: list[str], labels: list[set[int]], metas: list[tuple]) -> None:
         """Number the words and pairs of the labelled texts, and find which stand in which sentence."""
+        self.levels = tuple(tuple(v for v, n in sorted(Counter(m[j] for m in metas).items()) if n >= LEVEL * len(metas)) for j in range(3))
         often = max(sum(s in chosen for chosen in labels) for s in range(len(self.names))) / len(texts)
         # what stands in a quarter of a language's documents belongs to no subject, unless the subjects are few
         most = min(0.9, max(0.25, 2 * often))
@@ -113,15 +162,15 @@ class SubjectModel:
         doc = held.owner[where]
         in_docs = np.unique(doc * n_terms + term)
         of_doc, of_term = in_docs // n_terms, in_docs % n_terms
-        marks = np.stack([np.bincount(held.doc[np.isin(held.ids, [every[m] for m in ms if m in every])], minlength=held.n_docs) for ms in TONGUES.values()], 1)
-        tongue = marks.argmax(1)
         df = np.bincount(of_term, minlength=n_terms)
+        words = of_term < size
+        tongue = self.languages(of_doc[words], of_term[words], held.n_docs, df[:size], [m[2] for m in metas])
+        self.n_tongues = max(1, len(self.levels[2]))
         keep = df >= 2
-        for t in range(len(TONGUES)):
+        for t in range(self.n_tongues):
             n = int((tongue == t).sum())
             keep &= np.bincount(of_term[tongue[of_doc] == t], minlength=n_terms) <= max(3, most * n)
         kept = np.flatnonzero(keep)
-        kept = np.sort(kept[np.argsort(-df[kept], kind="stable")][:MOST_TERMS])
         place = np.full(n_terms, -1)
         place[kept] = np.arange(len(kept))
         ok = place[term] >= 0
@@ -146,7 +195,7 @@ class SubjectModel:
         lang, n_kept = self._tongue, len(self._kept)
         n = np.bincount(term, minlength=n_kept)[:, None]
         for _ in range(rounds):
-            base = np.stack([(post[inside & (lang == t)].sum(0) + 1) / ((inside & (lang == t)).sum() + k + 1) for t in range(len(TONGUES))])
+            base = np.stack([(post[inside & (lang == t)].sum(0) + 1) / ((inside & (lang == t)).sum() + k + 1) for t in range(self.n_tongues)])
             counts, due = np.zeros((n_kept, k)), np.zeros((n_kept, k))
             for s in range(k):
                 counts[:, s] = np.bincount(term, weights=post[where, s], minlength=n_kept)
@@ -220,12 +269,11 @@ class SubjectModel:
         by_words, by_sents = share[0, subject], share[1, subject]
         mean = (by_words + by_sents) / 2
         top = max((share[0] + share[1]).max() / 2, 1e-9)
-        source, kind, lang = meta
         together = max((self.joint[c, subject] for c in chosen), default=0.0)
         few = 1.0 / (1 + told)
         f = [1.0, mean, by_words - by_sents, *(max(0.0, mean - c) for c in (0.05, 0.1, 0.15, 0.2, 0.25, 0.35)), mean / top, float(mean >= top - 1e-9), float(mean > 0), few, few * mean, mean * told / 10]
-        f += [float(len(chosen)), together, float(source == "archive"), float(kind == "opinion"), float(kind == "statute"), float(kind == "brief"), float(lang != "en")]
-        return f + [float(subject == i) for i in range(len(self.names))]
+        f += [float(len(chosen)), together, *(float(value == x) for value, names in zip(meta, self.levels, strict=True) for x in names)]
+        return f + [float(i in chosen) for i in range(len(self.names))] + [float(subject == i) for i in range(len(self.names))]
 
     def learn_chain(self, rows: list[tuple[np.ndarray, int, tuple, set[int]]], held: list) -> None:
         k = len(self.names)
@@ -239,36 +287,25 @@ class SubjectModel:
         total = max(1, len(rows))
         self.joint = np.log((n + 0.5) * total / (np.outer(one, one) + 0.5 * total))
         self.joint = np.clip(self.joint, -2, 2)
-        x, y = [], []
-        for share, told, meta, labels in rows:
-            chosen: tuple[int, ...] = ()
-            for s in self.order(share):
-                x.append(self.features(share, told, s, chosen, meta))
-                y.append(float(s in labels))
-                if s in labels:
-                    chosen += (s,)
-        x, y = np.array(x), np.array(y)
-        w = np.zeros(x.shape[1])
-        for _ in range(30):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            grad = x.T @ (p - y) + 1.0 * w
-            hess = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w))
-            step = np.linalg.solve(hess, grad)
-            w -= step
-            if np.abs(step).max() < 1e-6:
-                break
-        self.chain = w
-        # one temperature, that of the least loss on documents not fitted on
-        if held:
-            z, t = [], []
-            for share, told, meta, labels in held:
-                chosen = ()
+        def links(some: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            x, y, of = [], [], []
+            for share, told, meta, labels in some:
+                chosen: tuple[int, ...] = ()
                 for s in self.order(share):
-                    z.append(float(np.dot(w, self.features(share, told, s, chosen, meta))))
-                    t.append(float(s in labels))
+                    x.append(self.features(share, told, s, chosen, meta))
+                    y.append(float(s in labels))
+                    of.append(s)
                     if s in labels:
                         chosen += (s,)
-            z, t = np.array(z), np.array(t)
+            return np.array(x), np.array(y), np.array(of)
+
+        x, y, of = links(rows)
+        shared = _logistic(x, y, np.zeros(x.shape[1]), 1.0)
+        self.chain = np.stack([_logistic(x[of == s], y[of == s], shared, TIED) if (of == s).any() else shared for s in range(k)])
+        # one temperature, that of the least loss on documents not fitted on
+        if held:
+            x, t, of = links(held)
+            z = np.einsum("nf,nf->n", x, self.chain[of])
             loss = {h: float(np.mean(np.logaddexp(0, np.where(t > 0, -z, z) / h))) for h in np.linspace(0.5, 3, 26)}
             self.heat = min(loss, key=loss.get)
 
@@ -284,14 +321,12 @@ class SubjectModel:
         for s in self.order(share):
             grown = []
             for score, chosen in beams:
-                z = float(np.dot(self.chain, self.features(share, told, s, chosen, meta))) / self.heat
+                z = float(np.dot(self.chain[s], self.features(share, told, s, chosen, meta))) / self.heat
                 grown.append((score - np.logaddexp(0, z), chosen))
                 if len(chosen) < MOST_LABELS:
                     grown.append((score - np.logaddexp(0, -z), (*chosen, s)))
             grown.sort(key=lambda g: (-g[0], g[1]))
             beams = grown[:BEAM]
-            if not any(not c for _, c in beams) or any(c for _, c in beams):
-                continue
         some = [b for b in beams if b[1]] or [(0.0, (self.order(share)[0],))]
         return some[0][1], float(np.exp(min(0.0, some[0][0])))
 
@@ -331,7 +366,7 @@ def fit(rows: list[tuple], names: list[str]) -> SubjectModel:
             labels.append(chosen)
     if not texts:
         return model
-    model.gather(texts, labels)
+    model.gather(texts, labels, metas)
     # the chain learns from shares by terms learned on other documents, else it trusts them too much
     folds, at, held = 3, np.arange(len(texts)), model._held
     share, told = np.zeros((len(texts), 2, len(names))), np.zeros(len(texts), dtype=int)
@@ -361,12 +396,21 @@ def label_batches(batches: Iterator, model: SubjectModel) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "subject", "share", "probability"])
 
 
-def labelled(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> list[tuple]:
-    """At most ``most`` labelled documents for the driver, chosen by hash of doc_id."""
+def labelled(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, most_chars: int = MOST_CHARS) -> list[tuple]:
+    """The sample of labelled documents: by hash of doc_id, at most ``most``, while their texts have ``most_chars`` together; one at least."""
     by_doc = labels.where("doc_id is not null and subject is not null").groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("subjects"))
-    by_doc = by_doc.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    short = documents.select("doc_id", "text", "source", "doc_type", "lang").where(F.length("text") <= MOST_CHARS)
-    rows = short.join(by_doc, "doc_id").dropDuplicates(["doc_id"]).collect()
+    texts = documents.where("doc_id is not null and text is not null")
+    sizes = texts.select("doc_id", F.length("text").alias("n")).join(by_doc.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("n").alias("n"))
+    chosen, total = [], 0
+    for r in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect():
+        total += r.n
+        if chosen and total > most_chars:
+            break
+        chosen.append((r.doc_id,))
+    if not chosen:
+        return []
+    ids = F.broadcast(documents.sparkSession.createDataFrame(chosen, "doc_id long"))  # at most ``most`` ids
+    rows = texts.select("doc_id", "text", "source", "doc_type", "lang").join(ids, "doc_id").join(by_doc, "doc_id").dropDuplicates(["doc_id"]).collect()
     return [(r.doc_id, r.text, r.source, r.doc_type, r.lang, r.subjects) for r in rows]
 
 
