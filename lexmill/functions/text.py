@@ -11,9 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+# fixed values: the words left out before embedding
 STOP_WORDS = (
-    "the and of to in a for is on that by with as at from or an be this which are it was not have has but their they will can if all any such may shall"
-).split()  # fixed values: the 37 words left out before embedding
+    "the", "and", "of", "to", "in", "a", "for", "is", "on", "that", "by", "with", "as", "at", "from", "or", "an", "be", "this", "which", "are", "it", "was", "not", "have", "has",
+    "but", "their", "they", "will", "can", "if", "all", "any", "such", "may", "shall",
+)
 
 
 # ---- identifiers
@@ -113,11 +115,28 @@ def iso_date(text: Column) -> Column:
 # ---- courts
 
 
+# fixed values: the reporter and the source of a court's decisions, by its level
+COURT_LEVELS = {"appeals": ("NY3d", "ny_supreme"), "division": ("AD3d", "ny_appellate"), "trial": ("Misc 3d", "ny_trial")}
+
+
+def court_of(name: Column) -> Column:
+    """struct(reporter, source_ref, department) of a court's name; nulls for no name.
+
+    A department is told of the Appellate Division only: the Appellate Term has departments too, but is a trial court here.
+    """
+    n = F.trim(F.regexp_replace(F.lower(name), r"\s+", " "))
+    level = F.when(n.contains("court of appeals"), "appeals").when(n.contains("appellate division"), "division").when(n != "", "trial")
+    reporter, source = (F.try_element_at(F.create_map(*[F.lit(x) for k, v in COURT_LEVELS.items() for x in (k, v[i])]), level) for i in (0, 1))
+    word = F.regexp_extract(n, r"\b(first|second|third|fourth)\b\s*department", 1)
+    department = F.when(level == "division", F.nullif(F.array_position(F.array(*map(F.lit, ("first", "second", "third", "fourth"))), word), F.lit(0)).cast("int"))
+    return F.struct(reporter.alias("reporter"), source.alias("source_ref"), department.alias("department"))
+
+
 def court_class(name: Column) -> Column:
     """The kind of court that a name describes."""
     n = F.lower(name)
     return (
-        F.when(n.rlike("app(ellate)?\\.? (div|term)|appeal"), "appellate").when(n.rlike("sup(reme|\\.)"), "supreme").when(n.rlike("surr"), "surrogate")
+        F.when(n.rlike("court of appeals"), "appeals").when(n.rlike("app(ellate)?\\.? div"), "appellate-division").when(n.rlike("app(ellate)?\\.? term"), "appellate-term").when(n.rlike("sup(reme|\\.)"), "supreme").when(n.rlike("surr"), "surrogate")
         .when(n.rlike("fam"), "family").when(n.rlike("city"), "city").when(n.rlike("county|co\\."), "county").when(n.isNotNull(), "other")
     )
 
@@ -143,7 +162,7 @@ ADDRESSES = (
     (r"^T([0-9]+)App([A-Z]+)[_-](.+)$", "", "App{2}-{3}"),
     (r"^T([0-9]+)C[A-Za-z0-9.]+App([A-Z]+)$", "", "App{2}"),
     (r"^T([0-9]+)HC_(.+)$", "", "{2}"),
-    (r"^T([0-9]+)-([a-z])C[A-Za-z0-9.]+_(.+)$", "", "{2}+{3}"),
+    (r"^T([0-9]+)-([a-z])C[A-Za-z0-9.]+_(.+)$", "", "letter{2}-{3}"),
     (r"^T([0-9]+)C([A-Za-z0-9.]+)-(.+)$", "", "{2}-{3}"),
     (r"^T([0-9]+)C([A-Za-z0-9.]+)$", "c:", "{2}"),
     (r"^T([0-9]+)App([A-Z]+)$", "c:", "App{2}"),
@@ -160,11 +179,10 @@ def address_curie(address: Column, code: str = "rcny") -> Column:
         group = lambda i, p=pattern: F.regexp_extract(address, p, i)
         title = F.regexp_replace(group(1), "^0+(?=.)", "")
         pieces = [F.lit(f"{code}:{kind}"), title]
-        lettered = form.startswith("{2}+")
-        if form and not lettered:
+        # a lettered title is one with its letter
+        if form and not form.startswith("letter"):
             pieces.append(F.lit("-"))
-        for literal, number in re.findall(r"([^{]*)(?:\{(\d)\})?", form):
-            literal = literal.replace("+", "-")
+        for literal, number in re.findall(r"([^{]*)(?:\{(\d)\})?", form.removeprefix("letter")):
             if literal:
                 pieces.append(F.lit(literal))
             if number:

@@ -113,6 +113,54 @@ def orphan_audit(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> Da
     return out
 
 
+def _object(json: Column) -> Column:
+    """A JSON object as a map whose values keep their kinds; empty for null and for what is no object."""
+    return F.coalesce(F.from_json(json, "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
+
+
+def merged_json(old: Column, new: Column) -> Column:
+    """Two JSON objects as one: the new one's values win, name by name, also where they are null; names are sorted."""
+    both = F.map_concat(F.map_filter(_object(old), lambda k, v: ~F.map_contains_key(_object(new), k)), _object(new))
+    return F.to_json(F.map_from_arrays(F.array_sort(F.map_keys(both)), F.transform(F.array_sort(F.map_keys(both)), lambda k: both[k])))
+
+
+def folded(rows: DataFrame, key: list[str], order: str, json: str, greatest: list[str] = ()) -> DataFrame:
+    """All rows of a key as one, however many: ``greatest`` columns, the row count as ``frequency``, and the merged objects.
+
+    Each name of an object keeps the value of the last row by ``order`` that has it. Names are folded apart, so partial
+    results combine before they are moved, and no key's rows are gathered.
+    """
+    one = rows.groupBy(*key).agg(*(F.max(c).alias(c) for c in greatest), F.count(F.lit(1)).alias("frequency"))
+    names = rows.select(*key, order, F.explode(F.transform_values(_object(F.col(json)), lambda k, v: F.to_json(v))).alias("name", "raw"))
+    last = names.groupBy(*key, "name").agg(F.max_by("raw", order).alias("raw"))
+    quoted = F.concat(F.lit('"'), F.regexp_replace("name", r'(["\\\\])', r"\\\\$1"), F.lit('":'), "raw")
+    objects = last.groupBy(*key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("name", quoted.alias("q")))), lambda x: x.q), ",").alias("_inside"))
+    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"j.{c}")) for c in key]
+    joined = one.alias("o").join(objects.alias("j"), same, "left")
+    return joined.select(*(f"o.{c}" for c in (*key, *greatest, "frequency")), F.concat(F.lit("{"), F.coalesce("j._inside", F.lit("")), F.lit("}")).alias(json))
+
+
+def audit_by_parent(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """(name, orphans) as ``orphan_audit`` gives, with one join for each parent: the keys of all its children meet it at once.
+
+    Keys are counted before they are moved. checks: (name, child, key, parent, parent key), parents told apart by identity.
+    """
+    groups: dict[tuple[int, str], list] = {}
+    for name, child, key, parent, parent_key in checks:
+        groups.setdefault((id(parent), parent_key), [parent]).append((name, child, key))
+    out = None
+    for (_, parent_key), (parent, *children) in groups.items():
+        keys = None
+        for name, child, key in children:
+            part = child.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(name))
+            keys = part if keys is None else keys.unionByName(part)
+        lost = keys.join(parent.select(F.col(parent_key).cast("string").alias("k")).where("k is not null").distinct(), "k", "left_anti").groupBy("name").agg(F.sum("n").alias("n"))
+        every = F.explode(F.array(*(F.lit(n) for n, _, _ in children))).alias("name")
+        rows = parent.sparkSession.range(1).select(every).join(lost, "name", "left").select("name", F.coalesce("n", F.lit(0)).alias("orphans"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def upsert(old: DataFrame, new: DataFrame, key: list[str], greatest: list[str] = (), add: list[str] = (), json: list[str] = ()) -> DataFrame:
     """Old and new rows as one table, one row a key.
 
@@ -130,10 +178,7 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str], greatest: list[str] =
         if c in add:
             return F.coalesce(o, F.lit(0)) + F.coalesce(n, F.lit(0))
         if c in json:
-            kind = "map<string,string>"
-            # names of the new object leave the old one
-            left = F.map_filter(F.coalesce(F.from_json(o, kind), F.create_map().cast(kind)), lambda k, v: ~F.coalesce(F.map_contains_key(F.from_json(n, kind), k), F.lit(False)))
-            return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(F.map_concat(left, F.coalesce(F.from_json(n, kind), F.create_map().cast(kind)))))))
+            return merged_json(o, n)
         return F.coalesce(n, o)
 
     return a.join(b, key, "full").select(*key, *(one(c).alias(c) for c in rest))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def one_row_each(df: DataFrame, key: str, *cols: str) -> DataFrame:
-    """``key`` and the least value of each column: repeated deliveries of a row become one."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*(F.min(c).alias(c) for c in cols))
+    """``key`` and the columns of its least row, nulls last: repeated deliveries become one that there was."""
+    order = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+    row = F.min_by(F.struct(*cols), F.struct(*(x.alias(f"o{i}") for i, x in enumerate(order))))
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(row.alias("_row")).select(key, "_row.*")
 
 
 class Corpus:
@@ -29,7 +33,7 @@ class Corpus:
 
 def mentions(text: Column, terms: list[str]) -> Column:
     """Whether the text holds any term, whatever its case; % and _ in a term are wildcards."""
-    return F.exists(F.array(*map(F.lit, terms)), lambda t: F.ilike(text, F.concat(F.lit("%"), t, F.lit("%"))))
+    return reduce(lambda a, b: a | b, (F.ilike(text, F.lit(f"%{t}%")) for t in terms), F.lit(False))
 
 
 def _keyword_side(c: Corpus, terms: list[str], least: float, every: bool) -> DataFrame:
@@ -57,9 +61,11 @@ def _text_side(c: Corpus, terms: list[str], strategy: str, scale: float, base: f
     )
 
 
-def hybrid_search(c: Corpus, terms: list[str], strategy: str = "any", least: float = 0.5, limit: int | None = 50, text: bool = True) -> DataFrame:
+def hybrid_search(c: Corpus, terms: list[str], strategy: str = "any", least: float = 0.5, limit: int | None = 50, text: bool = True, dates: DataFrame | None = None) -> DataFrame:
     """Opinions by keyword and text hits, best first; limit None gives all.
 
+    dates(case_id, decision_date): then the latest come first, undated ones last, and relevance breaks ties.
+
     strategy ``any``: any term; ``all``: every term, by keywords or by text; ``phrase``: the terms joined, text only.
     """
     order = [F.desc("total_relevance"), F.desc("text_matches"), F.col("opinion_id")]
@@ -84,6 +90,8 @@ def hybrid_search(c: Corpus, terms: list[str], strategy: str = "any", least: flo
         raise ValueError(f"no strategy {strategy!r}")
     # ranks that differ only in the last bits of a sum are ties
     found = found.withColumn("total_relevance", F.round("total_relevance", 6))
+    if dates is not None:
+        found, order = found.join(dates, "case_id", "left"), [F.desc_nulls_last("decision_date"), *order]
     return found.orderBy(*order).limit(limit) if limit is not None else found
 
 

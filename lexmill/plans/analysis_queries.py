@@ -171,6 +171,12 @@ def manifest(spark: SparkSession, d: str) -> DataFrame:
     return parts.groupBy("source_ref").agg(F.sum("n").alias("n"), whole.alias("digest"))
 
 
+def plain_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """The digest of each source's distinct identifiers in order, a line each; a source's identifiers are put in one string."""
+    o = table(spark, d, "opinions").where("curie is not null").select("source_ref", "curie").distinct()
+    return o.groupBy("source_ref").agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("curie")), "\n"), 256).alias("digest"))
+
+
 def freshness(spark: SparkSession, d: str) -> DataFrame:
     """Staged texts against those at hand: new, fresh or stale by digest."""
     a = table(spark, d, "stage_opinions").where("curie is not null").groupBy("curie").agg(F.min(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("a"))
@@ -306,7 +312,7 @@ QUERIES = {
     "roster_majority_vote": lambda spark, d: voting.roster(voters(spark, d), "surname", "department").withColumn("confidence", F.round("confidence", 6)),
     "panel_vote_department": lambda spark, d: voting.panel_vote((v := voters(spark, d)), "case_id", "surname", voting.roster(v, "surname", "department"), "department", 2, 0.6),
     "department_resolution": department_resolution, "trigram_topk_match": matched, "index_resolution_decide": decided, "batch_stats": batch_stats, "batch_error_breakdown": errors,
-    "quality_tier_distribution": tiers, "recent_activity_24h": recent, "department_skew_tripwire": skew, "resume_queue_antijoin": queue, "compile_hash_manifest": manifest, "freshness_state": freshness,
+    "quality_tier_distribution": tiers, "recent_activity_24h": recent, "department_skew_tripwire": skew, "resume_queue_antijoin": queue, "compile_hash_manifest": manifest, "compile_plain_manifest": plain_manifest, "freshness_state": freshness,
     "payload_expand": expanded, "payload_validate": validated, "vector_topk_cosine": cosine_top, "citation_stats": citation_stats, "citing_case_counts": citing_counts, "storage_efficiency": storage,
     "decade_tally": decades, "repeatable_sample": sample, "pricing_summary": pricing_summary,
 }
@@ -399,6 +405,7 @@ SELECT tier, n, round(n * 100.0 / sum(n) OVER (), 1) AS pct FROM g""",
     "department_skew_tripwire": f"""WITH g AS (SELECT court_id, court_department, count(*) AS c FROM ({_C}) WHERE court_id IS NOT NULL GROUP BY ALL), w AS (SELECT *, CAST(sum(c) OVER (PARTITION BY court_id) AS BIGINT) AS n FROM g)
 SELECT court_id, court_department, n, round(c / n, 6) AS share FROM w WHERE n >= 10 AND c / n > 0.6""",
     "resume_queue_antijoin": "SELECT DISTINCT id, curie FROM opinions o WHERE NOT coalesce(is_valueless, false) AND curie IS NOT NULL AND NOT EXISTS (SELECT 1 FROM opinion_keywords k WHERE k.opinion_curie = o.curie)",
+    "compile_plain_manifest": "SELECT source_ref, count(*) AS n, sha256(string_agg(curie, chr(10) ORDER BY curie)) AS digest FROM (SELECT DISTINCT source_ref, curie FROM opinions WHERE curie IS NOT NULL) GROUP BY 1",
     "compile_hash_manifest": """WITH p AS (SELECT source_ref, substr(md5(curie), 1, 3) AS part, count(*) AS n, sha256(string_agg(curie, chr(10) ORDER BY curie)) AS p FROM (SELECT DISTINCT source_ref, curie FROM opinions WHERE curie IS NOT NULL) GROUP BY 1, 2)
 SELECT source_ref, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(p, chr(10) ORDER BY part)) AS digest FROM p GROUP BY 1""",
     "freshness_state": """WITH a AS (SELECT curie, min(sha256(coalesce(text, ''))) AS a FROM stage_opinions WHERE curie IS NOT NULL GROUP BY 1), b AS (SELECT curie, min(sha256(coalesce(text, ''))) AS b FROM opinions WHERE curie IS NOT NULL GROUP BY 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge as M
@@ -75,14 +75,9 @@ def string_agg(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """Keyword contexts, a later assignment merged over the first one of the same opinion and keyword."""
+    """Keyword contexts, all later assignments merged over the first one of the same opinion and keyword."""
     rows = table(spark, d, "opinion_keywords").select("id", "opinion_curie", "keyword_id", "relevance_score", "context").distinct()
-    place = F.row_number().over(Window.partitionBy("opinion_curie", "keyword_id").orderBy("id"))
-    rows = rows.withColumn("place", place)
-    cols = ["opinion_curie", "keyword_id", "relevance_score", "context", "frequency"]
-    a, b = (rows.where(F.col("place") == i).withColumn("frequency", F.lit(1)).select(*cols) for i in (1, 2))
-    out = M.upsert(a, b, ["opinion_curie", "keyword_id"], greatest=["relevance_score"], add=["frequency"], json=["context"])
-    return out.where("frequency > 1").select("opinion_curie", "keyword_id", "relevance_score", "frequency", F.get_json_object("context", "$.p").alias("p"), F.get_json_object("context", "$.w").alias("w"))
+    return M.folded(rows, ["opinion_curie", "keyword_id"], "id", "context", greatest=["relevance_score"]).where("frequency > 1")
 
 
 def greatest_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -180,10 +175,11 @@ o AS (SELECT case_id, count(DISTINCT id) AS n FROM opinions GROUP BY case_id)
 SELECT c.id, name, coalesce(cites, '') AS cites, coalesce(a.n, 0) AS n_citations, coalesce(o.n, 0) AS n_opinions FROM c LEFT JOIN a ON a.case_id = c.id LEFT JOIN o ON o.case_id = c.id""",
     "string_agg_by_case": """SELECT case_id, string_agg(author, ' | ' ORDER BY opinion_index NULLS LAST, id, author) AS authors
 FROM (SELECT DISTINCT case_id, id, opinion_index, coalesce(author, '?') AS author FROM opinions WHERE case_id IS NOT NULL) GROUP BY case_id""",
-    "upsert_json_merge": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY opinion_curie, keyword_id ORDER BY id) AS place FROM (SELECT DISTINCT id, opinion_curie, keyword_id, relevance_score, context FROM opinion_keywords))
-SELECT a.opinion_curie, a.keyword_id, greatest(a.relevance_score, b.relevance_score) AS relevance_score, 2 AS frequency,
-  coalesce(json_extract_string(b.context, '$.p'), json_extract_string(a.context, '$.p')) AS p, coalesce(json_extract_string(b.context, '$.w'), json_extract_string(a.context, '$.w')) AS w
-FROM r a JOIN r b ON a.opinion_curie = b.opinion_curie AND a.keyword_id = b.keyword_id AND a.place = 1 AND b.place = 2""",
+    "upsert_json_merge": """WITH r AS (SELECT DISTINCT id, opinion_curie, keyword_id, relevance_score, context FROM opinion_keywords),
+n AS (SELECT opinion_curie, keyword_id, k, arg_max(json_extract(context, '$.' || k), id) AS v FROM (SELECT *, unnest(json_keys(context)) AS k FROM r) GROUP BY ALL),
+o AS (SELECT opinion_curie, keyword_id, string_agg('"' || k || '":' || v::VARCHAR, ',' ORDER BY k) AS inside FROM n GROUP BY ALL),
+g AS (SELECT opinion_curie, keyword_id, max(relevance_score) AS relevance_score, count(*) AS frequency FROM r GROUP BY ALL HAVING count(*) > 1)
+SELECT g.*, '{' || coalesce(inside, '') || '}' AS context FROM g LEFT JOIN o ON g.opinion_curie IS NOT DISTINCT FROM o.opinion_curie AND g.keyword_id IS NOT DISTINCT FROM o.keyword_id""",
     "upsert_greatest": "SELECT opinion_curie, keyword_id, max(relevance_score) AS relevance_score, first(category ORDER BY id DESC) AS category FROM opinion_keywords GROUP BY ALL",
     "bulk_update_null_guard": """WITH r AS (SELECT id, court_id, court_department FROM cases WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY court_department NULLS LAST, court_id NULLS LAST) = 1),
 u AS (SELECT court_id, court_department, count(*) AS n FROM r WHERE court_department IS NOT NULL GROUP BY court_id, court_department),

@@ -74,7 +74,7 @@ QUERIES = {
 
 _BASE = """
 WITH a AS (SELECT DISTINCT keyword_id, opinion_curie, relevance_score, category, status FROM opinion_keywords),
-o AS (SELECT id AS opinion_id, min(case_id) AS case_id, min(curie) AS curie FROM opinions WHERE id IS NOT NULL GROUP BY id),
+o AS (SELECT id AS opinion_id, case_id, curie FROM opinions WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY case_id NULLS LAST, curie NULLS LAST) = 1),
 c AS (SELECT id AS case_id, min(name) AS case_name FROM cases WHERE id IS NOT NULL GROUP BY id),
 p AS (SELECT DISTINCT id, opinion_id, raw_text FROM opinion_paragraphs WHERE opinion_id IS NOT NULL),
 t AS (SELECT k.id AS keyword_id, k.keyword_text, k.tier, k.frequency, a.opinion_curie, a.relevance_score, o.opinion_id, o.case_id, c.case_name

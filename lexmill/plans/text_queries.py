@@ -67,7 +67,8 @@ def reporter_decision(spark: SparkSession, d: str) -> DataFrame:
 
 
 def courts(spark: SparkSession, d: str) -> DataFrame:
-    return _cases(spark, d).groupBy(T.court_class(F.col("court_name")).alias("court")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("court_id").alias("n_courts"))
+    c = _cases(spark, d).withColumn("of", T.court_of(F.col("court_name")))
+    return c.groupBy(T.court_class(F.col("court_name")).alias("court"), "of.reporter", "of.source_ref", "of.department").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("court_id").alias("n_courts"))
 
 
 ADDRESS = "CASE id % 9 WHEN 0 THEN 'T0' || id || 'C01_1-02' WHEN 1 THEN 'T' || id || 'AppB_3' WHEN 2 THEN 'T7C019.1AppC' WHEN 3 THEN 'T24HC_1.0' || id WHEN 4 THEN 'T38-aC001_1-01' WHEN 5 THEN 'T50C002-01' WHEN 6 THEN 'T6C019A' WHEN 7 THEN 'T9AppQ' ELSE 'T00' || id END"
@@ -249,8 +250,13 @@ FROM p LEFT JOIN k ON k.token = p.token GROUP BY 1""",
     "reporter_correction_decision": f"""SELECT DISTINCT id, CASE WHEN observed_reporter IS NOT DISTINCT FROM expected_reporter THEN 'none' WHEN {_TOKEN.format('observed_reporter')} = {_TOKEN.format('expected_reporter')} THEN 'format' ELSE 'swap' END AS decision
 FROM (SELECT DISTINCT id, observed_reporter, expected_reporter FROM citation_corrections WHERE expected_reporter IS NOT NULL)""",
     "court_class": f"""WITH c AS (SELECT lower(court_name) AS n, court_id FROM ({_C}))
-SELECT CASE WHEN regexp_matches(n, 'app(ellate)?\\.? (div|term)|appeal') THEN 'appellate' WHEN regexp_matches(n, 'sup(reme|\\.)') THEN 'supreme' WHEN regexp_matches(n, 'surr') THEN 'surrogate' WHEN regexp_matches(n, 'fam') THEN 'family'
-  WHEN regexp_matches(n, 'city') THEN 'city' WHEN regexp_matches(n, 'county|co\\.') THEN 'county' WHEN n IS NOT NULL THEN 'other' END AS court, count(*) AS n, count(DISTINCT court_id) AS n_courts FROM c GROUP BY 1""",
+SELECT CASE WHEN contains(n, 'court of appeals') THEN 'appeals' WHEN regexp_matches(n, 'app(ellate)?\\.? div') THEN 'appellate-division' WHEN regexp_matches(n, 'app(ellate)?\\.? term') THEN 'appellate-term'
+  WHEN regexp_matches(n, 'sup(reme|\\.)') THEN 'supreme' WHEN regexp_matches(n, 'surr') THEN 'surrogate' WHEN regexp_matches(n, 'fam') THEN 'family'
+  WHEN regexp_matches(n, 'city') THEN 'city' WHEN regexp_matches(n, 'county|co\\.') THEN 'county' WHEN n IS NOT NULL THEN 'other' END AS court,
+  CASE WHEN contains(n, 'court of appeals') THEN 'NY3d' WHEN contains(n, 'appellate division') THEN 'AD3d' WHEN trim(n) <> '' THEN 'Misc 3d' END AS reporter,
+  CASE WHEN contains(n, 'court of appeals') THEN 'ny_supreme' WHEN contains(n, 'appellate division') THEN 'ny_appellate' WHEN trim(n) <> '' THEN 'ny_trial' END AS source_ref,
+  CASE WHEN contains(n, 'appellate division') AND NOT contains(n, 'court of appeals') THEN CASE regexp_extract(n, '\\b(first|second|third|fourth)\\b\\s*department', 1) WHEN 'first' THEN 1 WHEN 'second' THEN 2 WHEN 'third' THEN 3 WHEN 'fourth' THEN 4 END END AS department,
+  count(*) AS n, count(DISTINCT court_id) AS n_courts FROM c GROUP BY ALL""",
     "canonical_address_curie": f"""WITH a AS (SELECT id, {ADDRESS} AS address FROM ({_C}))
 SELECT id, {_ADDRESS_SQL} AS curie, list_aggregate(list_transform(regexp_extract_all(address, '[0-9]+|[^0-9]+'), lambda p: CASE WHEN regexp_matches(p, '^[0-9]') AND length(p) < 6 THEN lpad(p, 6, '0') ELSE p END), 'string_agg', '') AS sort_key FROM a""",
     "ancestor_paths": """WITH e AS (SELECT DISTINCT element_id, string_split(element_id, '/') AS p FROM usc_chunks WHERE element_id IS NOT NULL),

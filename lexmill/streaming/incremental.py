@@ -42,4 +42,9 @@ def once_each(events: DataFrame, key: list[str], ts: str, late: str = "1 hour")
     """The first of each key; in a stream, among the events of ``late`` time."""
     if events.isStreaming:
         return events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late).dropDuplicatesWithinWatermark(key).drop("_ts")
-    return events.dropDuplicates(key)
+    row = F.struct(*events.columns)
+    # of rows of one time, the least
+    first = events.where(F.col(ts).isNotNull()).groupBy(*key).agg(F.min_by(row, F.struct(ts, row)).alias("_row"))
+    undated = events.where(F.col(ts).isNull()).groupBy(*key).agg(F.min(row).alias("_row"))
+    same = [first[k].eqNullSafe(undated[k]) for k in key]
+    return first.select("_row.*").unionByName(undated.join(first, same, "left_anti").select("_row.*"))
