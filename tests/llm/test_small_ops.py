@@ -90,6 +90,40 @@ def test_quality_model_trusts_the_better_source(spark):
     assert hits >= 0.8 * len(truth)
 
 
+def test_quality_model_against_brute_force(spark):
+    """The same expectation-maximisation, fact by fact, in plain Python; multi-valued claims, many sources."""
+    import math
+
+    rng = random.Random(15)
+    said = {}
+    for g in range(60):
+        for attribute in ("status", "tier"):
+            truth = rng.choice("pqr")
+            for source in rng.sample([f"s{i}" for i in range(12)], 5):
+                said.setdefault((f"d{g}", attribute), {}).setdefault(source, set()).add(truth if rng.random() < 0.75 else rng.choice("pqr"))
+                if rng.random() < 0.1:
+                    said[f"d{g}", attribute][source].add("z")
+    facts = {(g, a, v): {s: v in vs for s, vs in who.items()} for (g, a), who in said.items() for v in set().union(*who.values())}
+    q = {(a, s): (0.7, 0.7) for (_, a, _), votes in facts.items() for s in votes}
+    odds = lambda f, votes: sum(math.log(q[f[1], s][0] / (1 - q[f[1], s][1])) if aye else math.log((1 - q[f[1], s][0]) / q[f[1], s][1]) for s, aye in votes.items())
+    for _ in range(30):
+        p = {f: 1 / (1 + math.exp(-odds(f, votes))) for f, votes in facts.items()}
+        new = {}
+        for a, s in q:
+            mine = [(p[f], votes[s]) for f, votes in facts.items() if f[1] == a and s in votes]
+            t, n = sum(x for x, _ in mine), sum(1 - x for x, _ in mine)
+            new[a, s] = min(0.99, (sum(x for x, aye in mine if aye) + 1) / (t + 2)), min(0.99, (sum(1 - x for x, aye in mine if not aye) + 1) / (n + 2))
+        moved = max(abs(x - y) for k in q for x, y in zip(q[k], new[k], strict=True))
+        q = new
+        if moved < 1e-4:
+            break
+    want = {f: 1 / (1 + math.exp(-odds(f, votes))) for f, votes in facts.items()}
+    rows = [(g, "", a, v, s) for (g, a), who in said.items() for s, vs in who.items() for v in vs]
+    df = spark.createDataFrame(rows, "doctrine string, field string, attribute string, value string, source_ref string")
+    got = {(r.doctrine, r.attribute, r.value): r.probability for r in S.true_values(df).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
 def test_tokens_equal_the_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
     t = tokenizers.Tokenizer.from_file(f"{K.TOKENIZERS}/byte_bpe_50k.json")
