@@ -6,6 +6,7 @@ import io
 import json
 import os
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,23 +18,40 @@ from .tables import reachable
 CASE = "id long, name string, name_abbreviation string, decision_date string, docket_number string, first_page string, last_page string, citations array<struct<type:string,cite:string>>, court struct<id:int,name:string>, jurisdiction struct<id:int,name_long:string>, casebody struct<data:struct<opinions:array<struct<type:string,author:string,text:string>>>>"
 
 
+ENTRIES_AT_ONCE = 500
+
+
 def _entries(batches: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.DataFrame]:
+    columns = ["path", "entry", "body", "fault"]
     for pdf in batches:
-        rows = []
         for path, content in zip(pdf["path"], pdf["content"], strict=True):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                for name in sorted(z.namelist()):
-                    if name.startswith(folder) and name.endswith(".json"):
-                        rows.append((path, name, z.read(name).decode("utf-8", "replace")))
-        yield pd.DataFrame(rows, columns=["path", "entry", "body"])
+            rows, fault = [], None
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in sorted(z.namelist()):
+                        if name.startswith(folder) and name.endswith(".json"):
+                            rows.append((path, name, z.read(name).decode("utf-8", "replace"), None))
+                            if len(rows) == ENTRIES_AT_ONCE:
+                                yield pd.DataFrame(rows, columns=columns)
+                                rows = []
+            except (zipfile.BadZipFile, OSError, EOFError, zlib.error) as e:
+                fault = f"{type(e).__name__}: {e}"
+            yield pd.DataFrame(rows + ([(path, None, None, fault)] if fault else []), columns=columns)
+
+
+def archive_entries(files: DataFrame, folder: str = "json/") -> DataFrame:
+    """files(path, content) -> (path, entry, body, fault) of the JSON entries under ``folder``; a bad archive is one fault.
+
+    Entries go on in small frames, so that no more of an archive is unpacked at once.
+    """
+    return files.select("path", "content").mapInPandas(lambda b: _entries(b, folder), "path string, entry string, body string, fault string")
 
 
 def zip_of_json(spark: SparkSession, path: str, folder: str = "json/") -> DataFrame:
     """(source, volume, entry, body) of the JSON entries under ``folder`` of each archive; a task reads whole archives."""
     reachable(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    rows = files.mapInPandas(lambda b: _entries(b, folder), "path string, entry string, body string")
-    return rows.select(F.regexp_extract("path", r"([^/]+)/[^/]+\.zip$", 1).alias("source"), F.regexp_extract("path", r"(\d+)\.zip$", 1).try_cast("int").alias("volume"), "entry", "body")
+    return archive_entries(files, folder).where("fault is null").select(F.regexp_extract("path", r"([^/]+)/[^/]+\.zip$", 1).alias("source"), F.regexp_extract("path", r"(\d+)\.zip$", 1).try_cast("int").alias("volume"), "entry", "body")
 
 
 def case_fields(bodies: DataFrame, schema: str = CASE) -> DataFrame:
@@ -82,8 +100,19 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
     A malformed line is one fault; a malformed array is one for the whole file.
     """
     reachable(spark)
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(_records, "path string, n long, record string, fault string")
+    return file_records(spark.read.format("binaryFile").load(path))
+
+
+def file_records(files: DataFrame) -> DataFrame:
+    """``json_records`` of files(path, content)."""
+    return files.select("path", "content").mapInPandas(_records, "path string, n long, record string, fault string")
+
+
+def json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, record, fault) of files with a record a line, which are read in parts, however large they are."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value")).where("trim(value) <> ''")
+    good = F.try_parse_json("value").isNotNull()
+    return lines.select("path", F.when(good, F.col("value")).alias("record"), F.when(~good, "line: malformed").alias("fault"))
 
 
 def by_type(spark: SparkSession, path: str, schemas: dict[str, str]) -> tuple[dict[str, DataFrame], DataFrame]:

@@ -83,7 +83,9 @@ def levels_and_records(xml: str, level: str = "LEVEL", record: str = "RECORD") -
         return []
     rows, seen = [], set()
 
-    def walk(e: ET.Element, parent: str | None, depth: int) -> None:
+    todo = [(root, None, 0)]  # no recursion: trees may be deep
+    while todo:
+        e, parent, depth = todo.pop()
         ident = e.get("id")
         if _name(e) == level and ident and ident not in seen:
             seen.add(ident)
@@ -92,17 +94,20 @@ def levels_and_records(xml: str, level: str = "LEVEL", record: str = "RECORD") -
             paras = [t for r in records for p in r.iter() if _name(p) == "PARA" and (t := re.sub(r"\s+", " ", _text(p)).strip())]
             rows.append((ident, parent, depth, heading, "\n".join(paras)))
             parent, depth = ident, depth + 1
-        for child in e:
-            walk(child, parent, depth)
-
-    walk(root, None, 0)
+        todo += [(child, parent, depth) for child in reversed(e)]
     return rows
 
 
 def level_xml(spark: SparkSession, path: str) -> DataFrame:
     reachable(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path).select("path", "content")
-    return files.mapInPandas(lambda b: _files(b, levels_and_records, ["id", "parent", "depth", "heading", "text"]), "path string, id string, parent string, depth int, heading string, text string")
+    return level_units(files)
+
+
+def level_units(files: DataFrame) -> DataFrame:
+    """The levels of files(path, content); of an id that several files hold, that of the first by path."""
+    rows = files.select("path", "content").mapInPandas(lambda b: _files(b, levels_and_records, ["id", "parent", "depth", "heading", "text"]), "path string, id string, parent string, depth int, heading string, text string")
+    return rows.groupBy("id").agg(F.min_by(F.struct("path", "parent", "depth", "heading", "text"), "path").alias("u")).select("u.path", "id", "u.parent", "u.depth", "u.heading", "u.text")
 
 
 # ---- HTML
