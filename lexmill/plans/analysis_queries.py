@@ -94,7 +94,7 @@ def voters(spark: SparkSession, d: str) -> DataFrame:
 
 def department_resolution(spark: SparkSession, d: str) -> DataFrame:
     v = voters(spark, d)
-    vote = voting.panel_vote(v, "case_id", "surname", voting.roster(v, "surname", "department"), "department", 2, 0.6).select("case_id", F.col("department").alias("panel"))
+    vote = voting.panel_vote(v, "case_id", "surname", voting.roster(v, "surname", "department"), "department").select("case_id", F.col("department").alias("panel"))
     by_court = voting.roster(_cases(spark, d), "court_id", "court_department").where("n >= 3 and confidence >= 0.8").select("court_id", F.col("court_department").alias("court"))
     c = _cases(spark, d).select(F.col("id").alias("case_id"), "court_id", F.col("court_department").alias("prior")).join(vote, "case_id", "left").join(by_court, "court_id", "left")
     return voting.resolution(c, "court", "panel", "prior").select("case_id", "resolved", "resolved_by", "grade")
@@ -154,7 +154,7 @@ def skew(spark: SparkSession, d: str) -> DataFrame:
     g = _cases(spark, d).where("court_id is not null").groupBy("court_id", "court_department").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("court_id")
     rows = g.withColumn("n", F.sum("c").over(w)).withColumn("share", F.col("c") / F.col("n"))
-    return rows.where("n >= 10 and share > 0.6").select("court_id", "court_department", "n", F.round("share", 6).alias("share"))
+    return rows.where("n >= 40 and share > 0.6").select("court_id", "court_department", "n", F.round("share", 6).alias("share"))
 
 
 def queue(spark: SparkSession, d: str) -> DataFrame:
@@ -310,7 +310,7 @@ QUERIES = {
     "current_version_asof": versions, "latest_text_version": latest, "asof_last_banner": asof, "interval_roster_lookup": roster_spans, "range_islands": islands, "section_carry_forward": banners,
     "boundary_ranges": ranges, "page_position_name": positions, "adjacent_duplicates": adjacent, "duplicate_identifier_check": seen_before, "marker_spacing": pages_kept,
     "roster_majority_vote": lambda spark, d: voting.roster(voters(spark, d), "surname", "department").withColumn("confidence", F.round("confidence", 6)),
-    "panel_vote_department": lambda spark, d: voting.panel_vote((v := voters(spark, d)), "case_id", "surname", voting.roster(v, "surname", "department"), "department", 2, 0.6),
+    "panel_vote_department": lambda spark, d: voting.panel_vote((v := voters(spark, d)), "case_id", "surname", voting.roster(v, "surname", "department"), "department"),
     "department_resolution": department_resolution, "trigram_topk_match": matched, "index_resolution_decide": decided, "batch_stats": batch_stats, "batch_error_breakdown": errors,
     "quality_tier_distribution": tiers, "recent_activity_24h": recent, "department_skew_tripwire": skew, "resume_queue_antijoin": queue, "compile_hash_manifest": manifest, "compile_plain_manifest": plain_manifest, "freshness_state": freshness,
     "payload_expand": expanded, "payload_validate": validated, "vector_topk_cosine": cosine_top, "citation_stats": citation_stats, "citing_case_counts": citing_counts, "storage_efficiency": storage,
@@ -322,7 +322,7 @@ v AS (SELECT DISTINCT o.id, o.case_id, lower(regexp_replace(split_part(author, '
 rc AS (SELECT surname, department, count(*) AS k FROM v WHERE department IS NOT NULL GROUP BY ALL),
 r AS (SELECT surname, department, k, sum(k) OVER (PARTITION BY surname) AS n, row_number() OVER (PARTITION BY surname ORDER BY k DESC, department) AS rn FROM rc),
 roster AS (SELECT surname, department, CAST(n AS BIGINT) AS n, k / n AS confidence FROM r WHERE rn = 1),
-pc AS (SELECT case_id, r.department, count(*) AS k FROM (SELECT DISTINCT case_id, surname FROM v) p JOIN roster r USING (surname) WHERE n >= 2 AND confidence >= 0.6 GROUP BY ALL),
+pc AS (SELECT case_id, r.department, count(*) AS k FROM (SELECT DISTINCT case_id, surname FROM v) p JOIN roster r USING (surname) WHERE n >= 3 AND confidence >= 0.8 GROUP BY ALL),
 pr AS (SELECT *, sum(k) OVER (PARTITION BY case_id) AS used, row_number() OVER (PARTITION BY case_id ORDER BY k DESC, department) AS rn FROM pc),
 panel AS (SELECT case_id, department, CAST(used AS BIGINT) AS used, k = used AS agree FROM pr WHERE rn = 1)"""
 _TRI = "list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"
@@ -403,7 +403,7 @@ SELECT o_orderstatus, count(*) AS n_jobs, CAST(sum(n) AS BIGINT) AS n_requests,
 SELECT tier, n, round(n * 100.0 / sum(n) OVER (), 1) AS pct FROM g""",
     "recent_activity_24h": "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 24 HOURS GROUP BY 1",
     "department_skew_tripwire": f"""WITH g AS (SELECT court_id, court_department, count(*) AS c FROM ({_C}) WHERE court_id IS NOT NULL GROUP BY ALL), w AS (SELECT *, CAST(sum(c) OVER (PARTITION BY court_id) AS BIGINT) AS n FROM g)
-SELECT court_id, court_department, n, round(c / n, 6) AS share FROM w WHERE n >= 10 AND c / n > 0.6""",
+SELECT court_id, court_department, n, round(c / n, 6) AS share FROM w WHERE n >= 40 AND c / n > 0.6""",
     "resume_queue_antijoin": "SELECT DISTINCT id, curie FROM opinions o WHERE NOT coalesce(is_valueless, false) AND curie IS NOT NULL AND NOT EXISTS (SELECT 1 FROM opinion_keywords k WHERE k.opinion_curie = o.curie)",
     "compile_plain_manifest": "SELECT source_ref, count(*) AS n, sha256(string_agg(curie, chr(10) ORDER BY curie)) AS digest FROM (SELECT DISTINCT source_ref, curie FROM opinions WHERE curie IS NOT NULL) GROUP BY 1",
     "compile_hash_manifest": """WITH p AS (SELECT source_ref, substr(md5(curie), 1, 3) AS part, count(*) AS n, sha256(string_agg(curie, chr(10) ORDER BY curie)) AS p FROM (SELECT DISTINCT source_ref, curie FROM opinions WHERE curie IS NOT NULL) GROUP BY 1, 2)

@@ -143,3 +143,82 @@ def test_spans(spark):
     assert t.select(spans.segments(F.col("t"), F.col("o")).alias("x")).first().x == ["ab", "cd", "ef"]
     m = spark.createDataFrame([([100, 3, 4, 40, 6, 1, 2],)], "m array<int>")
     assert m.select(spans.plausible_sequence(F.col("m")).alias("x")).first().x == [3, 4, 6, 1, 2]
+
+
+def test_json_merge_keeps_kinds(spark):
+    old = spark.createDataFrame([(1, '{"p": 2, "n": {"a": [1, 2]}, "s": "x\\"y"}'), (2, None), (3, "no json"), (4, '{"a": 1}')], "k int, j string")
+    new = spark.createDataFrame([(1, '{"q": true, "p": null}'), (2, '{"f": 1.5}'), (3, '{"z": "1"}'), (5, "{}")], "k int, j string")
+    got = {r.k: r.j for r in merge.upsert(old, new, ["k"], json=["j"]).collect()}
+    assert got == {1: '{"n":{"a":[1,2]},"p":null,"q":true,"s":"x\\"y"}', 2: '{"f":1.5}', 3: '{"z":"1"}', 4: '{"a":1}', 5: "{}"}
+
+
+def test_fold_of_many_rows(spark):
+    rows = spark.createDataFrame([("a", 1, '{"x": 1, "y": "o"}', 0.2), ("a", 2, '{"y": [1]}', 0.9), ("a", 3, '{"x": null}', None), ("b", 4, None, 0.1), (None, 5, "{}", 0.3)], "k string, id int, j string, s double")
+    got = {r.k: (r.s, r.frequency, r.j) for r in merge.folded(rows, ["k"], "id", "j", greatest=["s"]).collect()}
+    assert got == {"a": (0.9, 3, '{"x":null,"y":[1]}'), "b": (0.1, 1, "{}"), None: (0.3, 1, "{}")}
+
+
+def test_courts(spark):
+    from lexmill.functions import text as T
+
+    rows = [("Court of Appeals", "NY3d", "ny_supreme", None, "appeals"), ("Appellate Division, Second  Department", "AD3d", "ny_appellate", 2, "appellate-division"), ("Appellate Division", "AD3d", "ny_appellate", None, "appellate-division"),
+            ("Appellate Term, First Department", "Misc 3d", "ny_trial", None, "appellate-term"), ("Surrogate's Court, Kings County", "Misc 3d", "ny_trial", None, "surrogate"), ("", None, None, None, "other"), (None, None, None, None, None)]
+    df = spark.createDataFrame([(r[0],) for r in rows], "n string").select("n", T.court_of(F.col("n")).alias("c"), T.court_class(F.col("n")).alias("k"))
+    assert [(r.n, r.c.reporter, r.c.source_ref, r.c.department, r.k) for r in df.collect()] == rows
+
+
+def test_first_of_each_by_time(spark):
+    from lexmill.streaming.incremental import once_each
+
+    rows = spark.createDataFrame([("a", "2026-01-02", 1), ("a", "2026-01-01", 2), ("b", None, 3), ("b", None, 4), ("c", None, 5), ("c", "2026-01-05", 6), (None, "2026-01-01", 7)], "k string, ts string, v int")
+    assert {(r.k, r.v) for r in once_each(rows, ["k"], "ts").collect()} == {("a", 2), ("b", 3), ("c", 6), (None, 7)}
+
+
+def test_one_row_each_is_a_row_there_was(spark):
+    from lexmill.operators.search import one_row_each
+
+    rows = spark.createDataFrame([(1, "a", "z"), (1, "b", "y"), (2, None, "q"), (2, "c", None), (None, "x", "x")], "id int, p string, q string")
+    assert {tuple(r) for r in one_row_each(rows, "id", "p", "q").collect()} == {(1, "a", "z"), (2, "c", None)}
+
+
+def test_law_citations_at_their_places(spark):
+    from lexmill.operators import citations as C
+
+    text = "A" * 300 + " see 15 RCNY § 41-05 and § 41-06, again 15 RCNY § 41-05; 42 U.S.C. § 1983. DRL § 236 and CA Code § 12.5 apply, NYC Admin. Code § 24-603 too."
+    df = spark.createDataFrame([(1, text, "x"), (2, None, "x"), (3, "", "x"), (4, "nothing § 5", "x")], "id int, text string, curie string")
+    rows = C.law_citations(df).collect()
+    assert sorted(r.curie for r in rows) == sorted(["rcny:15-41-05", "rcny:15-41-06", "rcny:15-41-05", "usc:42-1983", "drl:236", "ca:12.5", "nyc-admin-code:24-603"])
+    twice = [r.context for r in rows if r.curie == "rcny:15-41-05"]
+    assert len(set(twice)) == 2 and all(c.startswith("…") for c in twice)
+    ok = spark.createDataFrame([("a:b",), ("a:b:c",), (":x",), ("1a:b",), (None,)], "c string").select(C.valid_curie(F.col("c")).alias("v")).collect()
+    assert [r.v for r in ok] == [True, False, False, False, False]
+
+
+def test_audit_by_parent_equals_one_by_one(spark):
+    child = spark.createDataFrame([(1, "a"), (2, "b"), (2, None), (9, "z"), (None, "a")], "k int, c string")
+    parent = spark.createDataFrame([(1, "a"), (2, None)], "id int, curie string")
+    checks = [("k", child, "k", parent, "id"), ("c", child, "c", parent, "curie"), ("self", parent, "id", parent, "id")]
+    assert {tuple(r) for r in merge.audit_by_parent(checks).collect()} == {tuple(r) for r in merge.orphan_audit(checks).collect()} == {("k", 1), ("c", 2), ("self", 0)}
+
+
+def test_polls_and_batches(spark):
+    from lexmill.operators import resolution as R
+
+    delays = R.poll_delays(24 * 60)
+    assert delays[0] == 5 and max(delays) == 60 and delays == sorted(delays) and 0 <= sum(delays) - 24 * 3600 < 60
+    got = spark.createDataFrame([(0,), (500,), (501,), (5_000,), (5_001,), (10_001,), (None,)], "n long").select(R.batch_size(F.col("n")).alias("b")).collect()
+    assert [r.b for r in got] == [0, 500, 101, 500, 500, 200, None]
+
+
+def test_checkpoints_need_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from lexmill.plans.lineage import checkpoint_dir
+
+    none = SimpleNamespace(isDefined=lambda: False)
+    cluster = SimpleNamespace(isLocal=lambda: False, getCheckpointDir=lambda: none)
+    bare = SimpleNamespace(sparkContext=SimpleNamespace(_jsc=SimpleNamespace(sc=lambda: cluster), getConf=lambda: {}), conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpoint_dir(bare)
