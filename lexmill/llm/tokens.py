@@ -7,7 +7,8 @@ last tokens. Two tokens can stand side by side if merging their joined bytes by
 kept for the life of a worker.
 
 No row moves: a task encodes its own documents, and its trie grows with the distinct words it meets, up to
-``TRIE_NODES`` nodes, when it starts afresh with nothing lost but work.
+``TRIE_NODES`` nodes of some 300 bytes each (0.3 GB a worker), when it starts afresh with nothing lost but work. The rank
+file is read by the driver and broadcast, so that no other machine needs it; it is refused beyond ``MOST_BYTES``.
 
 Defined cases: null, empty and blank texts: null and empty give [], blank text is encoded as the white space it is; the
 strings of special tokens are ordinary text; a repeated row gives a repeated result row.
@@ -16,13 +17,18 @@ strings of special tokens are ordinary text; a repeated row gives a repeated res
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 
 TOKENIZERS = "/opt/tokenizers"
-TRIE_NODES = 4_000_000
+TRIE_NODES = 1_000_000
+#: of a rank file; those of public vocabularies have one to four million
+MOST_BYTES = 64_000_000
+#: answers of pairs kept, of some 100 bytes each
+MOST_PAIRS = 2_000_000
 #: the split of the public byte-level vocabularies: a fixed value
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -70,6 +76,8 @@ class TrieEncoder:
         key = a * self.size + b
         known = self.beside.get(key)
         if known is None:
+            if len(self.beside) > MOST_PAIRS:
+                self.beside.clear()
             x, y = self.bytes_of[a], self.bytes_of[b]
             known = self.beside[key] = self._merged(x + y) == [x, y]
         return known
@@ -102,26 +110,25 @@ class TrieEncoder:
         return out[::-1]
 
 
-_ENCODERS: dict[str, TrieEncoder] = {}
+_ENCODERS: dict[bytes, TrieEncoder] = {}
 
 
-def encoder(path: str) -> TrieEncoder:
-    """The encoder of a rank file (base64 token and rank a line), one for each worker process."""
-    if path not in _ENCODERS:
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path] = TrieEncoder(ranks)
-    return _ENCODERS[path]
+def encoder(content: bytes) -> TrieEncoder:
+    """The encoder of a rank file's content (base64 token and rank a line), one for each worker process."""
+    key = hashlib.sha256(content).digest()
+    if key not in _ENCODERS:
+        _ENCODERS[key] = TrieEncoder({base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())})
+    return _ENCODERS[key]
 
 
-def encode_batches(batches: Iterator, path: str) -> Iterator:
+def encode_batches(batches: Iterator, content: bytes) -> Iterator:
     """Arrow batches (doc_id, text) -> (doc_id, ids)."""
     from itertools import chain
 
     import pyarrow as pa
     import regex
 
-    enc, find = encoder(path), regex.compile(PATTERN).findall
+    enc, find = encoder(content), regex.compile(PATTERN).findall
     ids_of: dict[str, list[int]] = {}
     for batch in batches:
         lists = []
@@ -149,5 +156,9 @@ def encode_batches(batches: Iterator, path: str) -> Iterator:
 
 def encode_corpus(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
     """documents(doc_id, text) -> (doc_id, ids), ids being the tokens of the whole text."""
-    path = f"{tokenizers}/{name}.tiktoken"
-    return documents.select("doc_id", "text").mapInArrow(lambda batches: encode_batches(batches, path), "doc_id long, ids array<int>")
+    with open(f"{tokenizers}/{name}.tiktoken", "rb") as f:
+        content = f.read(MOST_BYTES + 1)
+    if len(content) > MOST_BYTES:
+        raise ValueError(f"the rank file has more than {MOST_BYTES} bytes")
+    ranks = documents.sparkSession.sparkContext.broadcast(content)
+    return documents.select("doc_id", "text").mapInArrow(lambda batches: encode_batches(batches, ranks.value), "doc_id long, ids array<int>")
