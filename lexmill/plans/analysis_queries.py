@@ -264,6 +264,15 @@ def cited_places(spark: SparkSession, d: str) -> DataFrame:
     return citations.case_citations(o, table(spark, d, "reporters")).select("id", "norm", "volume", "page")
 
 
+def cited_names(spark: SparkSession, d: str) -> DataFrame:
+    """The named citations of all opinions and documents: a case's name before its place."""
+    texts = None
+    for name, key in (("opinions", "id"), ("documents", "doc_id")):
+        t = table(spark, d, name).where("text is not null").groupBy(F.concat(F.lit(f"{name}:"), F.col(key).cast("string")).alias("id")).agg(F.min("text").alias("text"))
+        texts = t if texts is None else texts.unionByName(t)
+    return citations.case_citations(texts, table(spark, d, "reporters")).select("id", "norm", "volume", "page", "raw", "case_name")
+
+
 LAW = "CASE id % 4 WHEN 0 THEN 'under ' || (id % 50) || ' U.S.C. § ' || id || ' and more' WHEN 1 THEN 'see 29 C.F.R. § 1910.' || id WHEN 2 THEN (id % 60) || ' RCNY § 4-0' || (id % 9) || ' applies' ELSE 'CA Code § ' || id END"
 
 
@@ -283,7 +292,11 @@ def documents_json(spark: SparkSession, d: str) -> DataFrame:
     cites = table(spark, d, "case_citations").select("case_id", F.col("cited_case").alias("cite"), F.col("category").alias("citation_type")).where("cite is not null")
     o = table(spark, d, "opinions").select("case_id", "opinion_index", "opinion_type", "author", "text").distinct()
     doc = case_documents(cases, cites, o)
-    return doc.select("id", F.get_json_object("document", "$.name").alias("name"), F.json_array_length(F.get_json_object("document", "$.opinions")).alias("n_opinions"))
+    kind = "struct<name:string,curie:string,citations:array<struct<cite:string,citation_type:string>>,opinions:array<struct<opinion_index:int,opinion_type:string,author:string,text:string>>>"
+    x = doc.select("id", F.from_json("document", kind).alias("x"))
+    cites = F.array_join(F.transform("x.citations", lambda c: F.concat(c.cite, F.lit("|"), F.coalesce(c.citation_type, F.lit("")))), ";")
+    said = F.array_join(F.transform("x.opinions", lambda o: F.concat_ws("|", F.coalesce(o.opinion_index.cast("string"), F.lit("")), F.coalesce(o.opinion_type, F.lit("")), F.coalesce(o.author, F.lit("")), F.md5(F.coalesce(o.text, F.lit(""))))), ";")
+    return x.select("id", "x.name", "x.curie", F.size("x.opinions").alias("n_opinions"), F.coalesce(cites, F.lit("")).alias("cites"), F.coalesce(said, F.lit("")).alias("opinions"))
 
 
 def record_rules(spark: SparkSession, d: str) -> DataFrame:
@@ -306,7 +319,7 @@ def formats(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "citation_extract": cited_places, "statute_citation_stats": laws, "stream_window_counts": stream_counts, "case_json_documents": documents_json, "record_validity": record_rules, "markdown_sections": rendered, "format_detect": formats,
+    "citation_extract": cited_places, "citation_case_names": cited_names, "statute_citation_stats": laws, "stream_window_counts": stream_counts, "case_json_documents": documents_json, "record_validity": record_rules, "markdown_sections": rendered, "format_detect": formats,
     "current_version_asof": versions, "latest_text_version": latest, "asof_last_banner": asof, "interval_roster_lookup": roster_spans, "range_islands": islands, "section_carry_forward": banners,
     "boundary_ranges": ranges, "page_position_name": positions, "adjacent_duplicates": adjacent, "duplicate_identifier_check": seen_before, "marker_spacing": pages_kept,
     "roster_majority_vote": lambda spark, d: voting.roster(voters(spark, d), "surname", "department").withColumn("confidence", F.round("confidence", 6)),
@@ -346,9 +359,21 @@ o AS (SELECT id, trim(regexp_replace(regexp_replace(min(text), '-\s*\n\s*', '',
 r AS (SELECT id, unnest(regexp_extract_all(t, p)) AS raw FROM o, p),
 g AS (SELECT id, regexp_extract(raw, '^([0-9]+)', 1)::INT AS volume, regexp_extract(raw, '([0-9]+)$', 1)::INT AS page, upper(regexp_replace(regexp_extract(raw, '^[0-9]+\s+(.*)\s+[0-9]+$', 1), '[\s.]+', '', 'g')) AS token FROM r)
 SELECT DISTINCT id, n.norm, volume, page FROM g JOIN n USING (token) WHERE volume > 0 AND page > 0""",
+    "citation_case_names": r"""WITH f AS (SELECT DISTINCT f, norm FROM (SELECT unnest(list_distinct(list_concat([canonical], coalesce(aliases, [])))) AS f, norm FROM reporters)),
+p AS (SELECT '\b([0-9]{1,4})\s+(' || string_agg(regexp_replace(replace(f, '.', '\.?'), '\s+', '\\s*', 'g'), '|' ORDER BY length(f) DESC, f) || ')\s+([0-9]{1,5})\b' AS p FROM f),
+n AS (SELECT upper(regexp_replace(f, '[\s.]+', '', 'g')) AS token, min(norm) AS norm FROM f GROUP BY 1),
+s AS (SELECT 'opinions:' || id AS id, min(text) AS text FROM opinions WHERE text IS NOT NULL GROUP BY id UNION ALL SELECT 'documents:' || doc_id, min(text) FROM documents WHERE text IS NOT NULL GROUP BY doc_id),
+o AS (SELECT id, trim(regexp_replace(regexp_replace(text, '-\s*\n\s*', '', 'g'), '[ \t\r\n\f]+', ' ', 'g')) AS t FROM s),
+h AS (SELECT id, regexp_extract_all(t, p) AS h, string_split_regex(t, p) AS b FROM o, p),
+r AS (SELECT id, unnest(h) AS raw, unnest(b[1:len(h)]) AS b, unnest(range(len(h))) AS i FROM h),
+g AS (SELECT id, i, raw, nullif(trim(regexp_extract(b, '([A-Z][^,\n]{3,}? v\.? [^,\n]{2,}?)\s*[,;:]\s*$', 1)), '') AS case_name, regexp_extract(raw, '^([0-9]+)', 1)::INT AS volume, regexp_extract(raw, '([0-9]+)$', 1)::INT AS page,
+  upper(regexp_replace(regexp_extract(raw, '^[0-9]+\s+(.*)\s+[0-9]+$', 1), '[\s.]+', '', 'g')) AS token FROM r)
+SELECT id, n.norm, volume, page, raw, case_name FROM g JOIN n USING (token) WHERE volume > 0 AND page > 0 QUALIFY row_number() OVER (PARTITION BY id, n.norm, volume, page ORDER BY i) = 1""",
     "stream_window_counts": "SELECT time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-    "case_json_documents": f"""WITH c AS ({_C}), o AS (SELECT case_id, count(*) AS n FROM (SELECT DISTINCT case_id, opinion_index, opinion_type, author, text FROM opinions) GROUP BY 1)
-SELECT c.id, name, o.n AS n_opinions FROM c LEFT JOIN o ON o.case_id = c.id""",
+    "case_json_documents": f"""WITH c AS ({_C}), o AS (SELECT case_id, count(*) AS n, string_agg(coalesce(opinion_index::VARCHAR, '') || '|' || coalesce(opinion_type, '') || '|' || coalesce(author, '') || '|' || md5(coalesce(text, '')), ';'
+    ORDER BY opinion_index NULLS FIRST, opinion_type NULLS FIRST, author NULLS FIRST, text NULLS FIRST) AS opinions FROM (SELECT DISTINCT case_id, opinion_index, opinion_type, author, text FROM opinions) GROUP BY 1),
+k AS (SELECT case_id, string_agg(cite || '|' || coalesce(category, ''), ';' ORDER BY cite, category NULLS FIRST) AS cites FROM (SELECT DISTINCT case_id, cited_case AS cite, category FROM case_citations WHERE cited_case IS NOT NULL) GROUP BY 1)
+SELECT c.id, name, curie, o.n AS n_opinions, coalesce(k.cites, '') AS cites, coalesce(o.opinions, '') AS opinions FROM c LEFT JOIN o ON o.case_id = c.id LEFT JOIN k ON k.case_id = c.id""",
     "record_validity": """SELECT count(*) FILTER (WHERE coalesce(trim(element_id), '') = '') AS lacks_element_id, count(*) FILTER (WHERE coalesce(trim(heading), '') = '') AS lacks_heading, count(*) FILTER (WHERE coalesce(trim(original_text), '') = '') AS lacks_original_text,
   count(*) FILTER (WHERE coalesce(trim(element_id), '') <> '' AND coalesce(trim(heading), '') <> '' AND coalesce(trim(original_text), '') <> '') AS n_valid FROM usc_chunks""",
     "markdown_sections": """WITH u AS (SELECT DISTINCT id, element_id, content_type, coalesce(heading, '-') AS h, original_text FROM usc_chunks WHERE element_id IS NOT NULL),

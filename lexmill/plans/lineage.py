@@ -56,11 +56,16 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread, how: st
 
 
 MOST_BROADCAST_ROWS = 200_000
+MOST_BROADCAST_BYTES = 32_000_000
 
 
-def sized(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``most`` rows, else as it is, for a shuffled join.
+def sized(df: DataFrame, most: int = MOST_BROADCAST_ROWS, most_bytes: int = MOST_BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows of ``most_bytes`` together, else as it is, for a shuffled join.
 
-    For narrow rows only: ``most`` of them are to fit a task's memory many times over.
+    Counted are the bytes of texts and binaries and 16 for any other column. Not more than ``most`` rows are looked at.
     """
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    width = F.lit(0)
+    for name, kind in df.dtypes:
+        width = width + (F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) if kind in ("string", "binary") else F.lit(16))
+    seen = df.limit(most + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if seen.n <= most and seen.bytes <= most_bytes else df

@@ -95,7 +95,7 @@ def pivoted(spark: SparkSession, d: str) -> DataFrame:
     """Heading and body of each element, the last one of each by chunk."""
     u = table(spark, d, "usc_chunks").where("element_id is not null").select("element_id", "id", "content_type", "original_text")
     of = lambda kind: F.max_by("original_text", F.when(F.col("content_type") == kind, F.col("id")))
-    return u.groupBy("element_id").agg(of("heading").alias("heading"), F.max(F.when(F.col("content_type") == "body", F.col("id"))).alias("last_body"))
+    return u.groupBy("element_id").agg(of("heading").alias("heading"), of("body").alias("body"))
 
 
 def element_checks(spark: SparkSession, d: str) -> DataFrame:
@@ -266,7 +266,7 @@ SELECT path, CASE WHEN regexp_matches(path, '/t[0-9]+$') THEN 'title' WHEN regex
     "split_heading": """WITH h AS (SELECT DISTINCT heading, '^\\s*(?:§+|Section|Sec\\.?)\\s*([0-9A-Za-z.\\-]*[0-9A-Za-z])\\.?\\s*(.*)$' AS p FROM usc_chunks WHERE heading IS NOT NULL)
 SELECT heading, CASE WHEN regexp_matches(heading, '^\\s*(?:§+|Section|Sec\\.?)\\s*([0-9A-Za-z.\\-]*[0-9A-Za-z])\\.?\\s*(.*)$') THEN regexp_extract(heading, '^\\s*(?:§+|Section|Sec\\.?)\\s*([0-9A-Za-z.\\-]*[0-9A-Za-z])\\.?\\s*(.*)$', 1) END AS number,
   CASE WHEN regexp_matches(heading, '^\\s*(?:§+|Section|Sec\\.?)\\s*([0-9A-Za-z.\\-]*[0-9A-Za-z])\\.?\\s*(.*)$') THEN regexp_replace(regexp_extract(heading, '^\\s*(?:§+|Section|Sec\\.?)\\s*([0-9A-Za-z.\\-]*[0-9A-Za-z])\\.?\\s*(.*)$', 2), '[\\s.;,]+$', '') END AS label FROM h""",
-    "heading_body_pivot": """SELECT element_id, first(original_text ORDER BY id DESC) FILTER (WHERE content_type = 'heading') AS heading, max(id) FILTER (WHERE content_type = 'body') AS last_body
+    "heading_body_pivot": """SELECT element_id, first(original_text ORDER BY id DESC) FILTER (WHERE content_type = 'heading') AS heading, first(original_text ORDER BY id DESC) FILTER (WHERE content_type = 'body') AS body
 FROM usc_chunks WHERE element_id IS NOT NULL GROUP BY element_id""",
     "element_rule_checks": """SELECT count(*) FILTER (WHERE NOT coalesce(regexp_matches(element_id, '^/us/usc/t[0-9]+(/[A-Za-z0-9.\\-]+)*$'), false)) AS identifier, count(*) FILTER (WHERE NOT coalesce(content_type IN ('heading', 'body'), false)) AS type,
   count(*) FILTER (WHERE coalesce(trim(original_text), '') = '') AS empty, count(*) FILTER (WHERE coalesce(regexp_matches(original_text, '^\\([a-z0-9]\\)'), false)) AS marker FROM usc_chunks""",

@@ -121,3 +121,22 @@ def test_joins(spark):
     small = spark.createDataFrame([(1, "a"), (3, "b")], "k int, v string")
     assert salted_join(big, small, ["k"], F.col("r")).count() == big.join(small, "k").count()
     assert "broadcast" in sized(small)._jdf.queryExecution().toString() and "broadcast" not in sized(big, 5)._jdf.queryExecution().analyzed().toString()
+
+
+def test_panels_in_four_forms(spark):
+    from lexmill.operators import citations
+
+    rows = [
+        ("Concur—Smith, J.P., Roe and O'Neil, JJ. Ordered that", ["O'Neil", "Roe", "Smith"]), ("The appeal is without merit.\nGarry, P.J., Egan Jr. and Lynch, JJ., concur.", ["Egan Jr.", "Garry", "Lynch"]),
+        ("Jones, J., concurs with Brown, J., in a memorandum; Gray, J., dissents.", ["Brown", "Gray", "Jones"]), ("Present: The Court, of Appeals", []), ("", []), (None, None),
+    ]
+    got = spark.createDataFrame([(t,) for t, _ in rows], "t string").select(citations.panel(F.col("t")).alias("p")).collect()
+    assert [None if r.p is None else sorted(r.p) for r in got] == [w for _, w in rows]
+
+
+def test_case_names(spark):
+    from lexmill.operators import citations
+
+    reporters = spark.createDataFrame([("Tam.", ["Tam"], "TAM")], "canonical string, aliases array<string>, norm string")
+    texts = spark.createDataFrame([(1, "Later, Smith v. Jones, 5 Tam. 6; Rowe v Doe; 7 Tam 8. Then 9 Tam. 10, and again 5 Tam. 6.", "x"), (2, None, "x")], "id int, text string, raw string")
+    assert sorted((r.volume, r.page, r.case_name) for r in citations.case_citations(texts, reporters).collect()) == [(5, 6, "Smith v. Jones"), (7, 8, "Rowe v Doe"), (9, 10, None)]
