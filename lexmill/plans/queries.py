@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import orphans
 from ..sources.tables import table
-from . import analysis_queries, document_queries, merge_queries, more_queries, resolution_queries, search_queries, text_queries
+from . import analysis_queries, document_queries, file_queries, merge_queries, more_queries, resolution_queries, search_queries, text_queries
 
 
 def _broken(spark: SparkSession, d: str) -> DataFrame:
@@ -40,7 +40,7 @@ broken AS (
 """
 
 
-FAMILIES = (search_queries, merge_queries, text_queries, analysis_queries, more_queries, resolution_queries, document_queries)
+FAMILIES = (search_queries, merge_queries, text_queries, analysis_queries, more_queries, resolution_queries, document_queries, file_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -69,7 +69,12 @@ def law_xml(spark: SparkSession, path: str) -> DataFrame:
     """Elements of the laws in a folder; an identifier that came before in its file gets #dup1, #dup2 ..."""
     reachable(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    rows = files.mapInPandas(lambda b: _files(b, law_elements, ["n", "identifier", "type", "content_type", "content"]), "path string, n int, identifier string, type string, content_type string, content string")
+    return law_units(files)
+
+
+def law_units(files: DataFrame) -> DataFrame:
+    """``law_xml`` of files(path, content)."""
+    rows = files.select("path", "content").mapInPandas(lambda b: _files(b, law_elements, ["n", "identifier", "type", "content_type", "content"]), "path string, n int, identifier string, type string, content_type string, content string")
     k = F.row_number().over(Window.partitionBy("path", "identifier", "type", "content_type").orderBy("n")) - 1
     ident = F.when(F.col("k") == 0, F.col("identifier")).otherwise(F.concat("identifier", F.lit("#dup"), F.col("k").cast("string")))
     return rows.withColumn("k", k).select("path", "n", ident.alias("identifier"), "type", "content_type", "content")
