@@ -27,6 +27,22 @@ def dense_ids(rows: DataFrame, order: list[str], to: str = "new_id", start: int
     )
 
 
+def tree_depths(nodes: DataFrame, most_rounds: int = 40) -> DataFrame:
+    """nodes(id, parent), ids unique -> (id, depth): 0 for a node whose parent is null or missing, null for one in or under a cycle.
+
+    Each node points to an ancestor, and each round to that one's: the way doubles, so a tree of depth n takes log n joins.
+    """
+    known = nodes.select(F.col("id").alias("parent"), F.lit(True).alias("_known"))
+    rows = nodes.join(known, "parent", "left").select("id", F.when(F.col("_known"), F.col("parent")).alias("up"), F.when(F.col("_known"), 1).otherwise(0).cast("long").alias("depth"))
+    rows = cut(rows)
+    for _ in range(most_rounds):
+        if rows.where("up is not null").isEmpty():
+            break
+        above = rows.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
+        rows = cut(rows.join(above, "up", "left").select("id", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")))
+    return rows.select("id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+
+
 def first_by(rows: DataFrame, key: list[str], order: list) -> DataFrame:
     """One row of each key, the first by ``order``."""
     place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import citations, matching, temporal, voting
 from ..operators.ids import first_by
+from ..sources.markup import format_of
 from ..sources.sinks import case_documents, markdown, valid_records
 from ..sources.tables import table
 from ..streaming import incremental
@@ -312,10 +313,10 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
 
 
 def formats(spark: SparkSession, d: str) -> DataFrame:
-    """What the heads of files tell of their format, as an expression over columns."""
+    """What the heads of files tell of their format."""
     c = _cases(spark, d).select("id", F.expr("CASE id % 4 WHEN 0 THEN '%PDF-1.7' WHEN 1 THEN '<div class=\"case-info\">' WHEN 2 THEN '<TABLE bgcolor=\"#FFFF80\">' ELSE 'text' END").alias("head"))
-    kind = F.when(F.col("head").startswith("%PDF"), "pdf").when(F.contains("head", F.lit('class="case-info"')), "html-modern").when(F.lower("head").rlike('<table[^>]*bgcolor="?#ffff80'), "html-legacy").otherwise("unknown")
-    return c.groupBy(kind.alias("format")).agg(F.count(F.lit(1)).alias("n"))
+    kind = F.pandas_udf(lambda heads: heads.map(format_of), "string")
+    return c.select(kind("head").alias("format")).groupBy("format").agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import merge as M
 from ..operators import spans
-from ..operators.ids import dense_ids, first_by
+from ..operators.ids import dense_ids, first_by, tree_depths
 from ..operators.search import one_row_each
 from ..sources.tables import table
 from .text_queries import _C, _cases
@@ -149,14 +149,7 @@ def richest(spark: SparkSession, d: str) -> DataFrame:
 def depths(spark: SparkSession, d: str) -> DataFrame:
     """The depth of each element in the tree of those present; one whose parent is missing is a root."""
     e = table(spark, d, "usc_chunks").where("element_id is not null").select(F.col("element_id").alias("id")).distinct().withColumn("parent", F.regexp_replace("id", "/[^/]*$", ""))
-    known = e.join(e.select(F.col("id").alias("parent"), F.lit(True).alias("known")), "parent", "left")
-    level = known.where("known is null").select("id", F.lit(0).alias("depth"))
-    out, rest, deep = level, known.where("known").select("id", "parent"), 0
-    most = e.select(F.max(F.size(F.split("id", "/")))).first()[0] or 0
-    for deep in range(1, most):  # a path has no more levels than parts
-        level = rest.join(level.select(F.col("id").alias("parent")), "parent").select("id", F.lit(deep).alias("depth"))
-        out = out.unionByName(level)
-    return out
+    return tree_depths(e).select("id", F.col("depth").cast("int").alias("depth"))
 
 
 def overlap(spark: SparkSession, d: str) -> DataFrame:

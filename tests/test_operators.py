@@ -222,3 +222,10 @@ def test_checkpoints_need_a_shared_folder(spark):
     bare = SimpleNamespace(sparkContext=SimpleNamespace(_jsc=SimpleNamespace(sc=lambda: cluster), getConf=lambda: {}), conf=SimpleNamespace(get=lambda k, d: d))
     with pytest.raises(ValueError, match="checkpoint"):
         checkpoint_dir(bare)
+
+
+def test_tree_depths(spark):
+    rows = [(i, i - 1) for i in range(1, 40)] + [(100, None), (101, 100), (102, 999), (200, 201), (201, 200), (202, 201)]
+    got = {r.id: r.depth for r in ids.tree_depths(spark.createDataFrame(rows, "id long, parent long"), 8).collect()}
+    assert got == {i: i - 1 for i in range(1, 40)} | {100: 0, 101: 1, 102: 0, 200: None, 201: None, 202: None}
+    assert ids.tree_depths(spark.createDataFrame([], "id long, parent long")).count() == 0
