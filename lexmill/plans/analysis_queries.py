@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import citations, matching, temporal, voting
 from ..operators.ids import first_by
-from ..sources.markup import format_of
+from ..sources.archives import format_of
 from ..sources.sinks import case_documents, markdown, valid_records
 from ..sources.tables import table
 from ..streaming import incremental
