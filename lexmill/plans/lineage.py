@@ -38,7 +38,7 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def let_go(spark: SparkSession) -> None:
     """Have the shuffle files that nothing refers to any more deleted now, not when the driver next happens to collect."""
-    for _ in range(5):  # Python lets go of the JVM's objects in the background
+    for _ in range(3):  # Python lets go of the JVM's objects in the background
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.4)
