@@ -256,3 +256,32 @@ def test_vectors(spark):
     assert some == {i for i in ids if i % 20 == 0}
     assert V.nearest_vectors(df.limit(0)).count() == 0
     assert V.nearest_vectors(df.where("id = 3")).count() == 0
+
+
+def test_all_shards_are_asked_however_many(spark, monkeypatch):
+    """With a tree over the pivots as without one, every shard is asked."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1300, 64)).astype(np.float32)
+    unit = V.unit(x).astype(np.float32)
+    rows = np.arange(0, 1300, 20)
+    monkeypatch.setattr(V, "TREE", 64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, embedding array<float>")
+    cos = unit @ unit.T
+    np.fill_diagonal(cos, -2)
+    got = {}
+    for r in V.nearest_vectors(df, k=5, beam=40, degree=20, asked=20, shard=5).collect():  # 260 pivots
+        got.setdefault(r.id, set()).add(r.other)
+    assert sum(len(got[i] & set(np.argsort(-cos[i])[:5].tolist())) for i in rows.tolist()) >= 0.98 * 5 * len(rows)
+    monkeypatch.undo()
+    router = V.Router(unit[:600])
+    assert router.children is not None
+    home = router.homes(unit)
+    monkeypatch.setattr(V, "MOST_SENT", 5000)
+    parts = list(router.every(rows, home, True))
+    assert len(parts) > 5 and {p for q, j in parts for p in zip(q.tolist(), j.tolist())} == {(i, j) for i in rows.tolist() for j in range(600)}
+    assert sum(len(q) for q, _ in router.every(rows, home, False)) == 599 * len(rows)
+    assert len(router.homes(unit[:0])) == 0
+    mine, q, j = router.visits(unit, None, 2.0)
+    assert len(q) == 599 * 1300 and (mine[q] != j).all()
